@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from draftlake.functions.scalars import epoch_date
+
 # The standard 24-slot template as (slot, phase, is_ban, side).
 STANDARD_TEMPLATE = [
     (0, "ban_1", True, 0), (1, "ban_1", True, 0), (2, "ban_2", True, 1), (3, "ban_2", True, 1),
@@ -47,7 +49,7 @@ def draft_sequences(steps: DataFrame) -> DataFrame:
     """
     slot = F.col("slot").cast("int")
     inside = slot.between(0, _BITS)
-    bit = F.shiftleft(F.lit(1).cast("bigint"), F.when(inside, slot).otherwise(0))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.when(inside, slot).otherwise(0))
 
     def mask(cond: Column) -> Column:
         return F.coalesce(F.bit_or(F.when(inside & cond, bit)), F.lit(0).cast("bigint"))
@@ -112,7 +114,6 @@ def validate_drafts(steps: DataFrame) -> DataFrame:
 
 def format_canary(steps: DataFrame, contests: DataFrame) -> DataFrame:
     """Contests per day, era and sequence digest, to notice a new draft format."""
-    from draftlake.functions.scalars import epoch_date
     seqs = validate_drafts(steps)
     days = contests.select("contest_id", epoch_date("start_time").alias("day"))
     return seqs.join(days, "contest_id").groupBy("day", "era", "digest").agg(

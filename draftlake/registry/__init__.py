@@ -4,7 +4,7 @@ import importlib
 
 from draftlake.registry.core import ORACLES, QUERIES
 
-_MODULES = ["q_profiles"]
+_MODULES = ["q_profiles", "q_drafts", "q_features"]
 for _m in _MODULES:
     importlib.import_module(f"draftlake.registry.{_m}")
 

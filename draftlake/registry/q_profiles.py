@@ -153,11 +153,11 @@ def side_outcomes(spark, d):
 
 # --- top-k -------------------------------------------------------------------------------
 
-@query(sql("line_synergy_all", """WITH both AS (
+@query(sql("line_synergy_all", """WITH ways AS (
     SELECT item_a AS item_id, item_b AS partner_id, item_b_name AS partner_name, games, wins, shrunk_wr FROM line_synergy_all
     UNION ALL SELECT item_b, item_a, item_a_name, games, wins, shrunk_wr FROM line_synergy_all)
     SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY shrunk_wr DESC, partner_id) AS INTEGER)
-      AS rank FROM both WHERE games >= 2) WHERE rank <= 20"""))
+      AS rank FROM ways WHERE games >= 2) WHERE rank <= 20"""))
 def top_partners(spark, d):
     return topk.top_partners(pairs.pair_synergy(line_tables(spark, d), None))
 
