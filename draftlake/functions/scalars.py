@@ -51,6 +51,14 @@ def shrunk(wins, games, prior: float) -> Column:
     return (as_col(wins) + F.lit(float(prior))) / (as_col(games) + F.lit(2.0 * prior))
 
 
+MILLION = 1_000_000
+
+
+def millionths(rate) -> Column:
+    """A rate as a whole number of millionths; sums of these are exact in any order."""
+    return F.round(as_col(rate) * MILLION).cast("bigint")
+
+
 # --- time (epoch seconds; independent of the session time zone) ---------------------------
 
 def epoch_of(ts) -> Column:
@@ -193,17 +201,26 @@ MIX_MODULUS = 2147483647
 MIX_FACTORS = (48271, 16807, 69621)
 
 
+def sample_base(seed: int, contest, slot) -> Column:
+    """The part of ``sample_key`` that does not depend on the item."""
+    a, b, _ = MIX_FACTORS
+    contest, slot = as_col(contest).cast("bigint"), as_col(slot).cast("bigint")
+    return F.pmod(contest, F.lit(MIX_MODULUS).cast("bigint")) * a + slot * b + seed
+
+
+def sample_mix(base, item) -> Column:
+    item = as_col(item).cast("bigint")
+    x = (base + item * MIX_FACTORS[2]) % MIX_MODULUS
+    return (x * x + item) % MIX_MODULUS
+
+
 def sample_key(seed: int, contest, slot, item) -> Column:
     """Pseudo-random integer from (seed, contest, slot, item).
 
     Every intermediate stays below 2^63, so any engine with 64-bit integers gives the same
     order, and the same rows are sampled again whatever the partitioning.
     """
-    m, (a, b, c) = F.lit(MIX_MODULUS).cast("bigint"), MIX_FACTORS
-    contest, slot, item = (as_col(x).cast("bigint") for x in (contest, slot, item))
-    x = (F.pmod(contest, m) * a + slot * b + item * c + seed) % m
-    x = (x * x + item) % m
-    return (x * x + slot) % m
+    return sample_mix(sample_base(seed, contest, slot), item)
 
 
 def unit_interval(key) -> Column:

@@ -71,7 +71,7 @@ def draft_sequences(steps: DataFrame) -> DataFrame:
         F.filter(F.sequence(F.lit(0), F.lit(_BITS)), lambda i: has("_seen", i)),
         lambda i: F.struct(i.alias("slot"), has("_pick", i).alias("is_pick"),
                            F.when(has("_side", i), 1).otherwise(0).alias("side")))
-    ordered = F.when(F.size("_far") == 0, near).otherwise(F.array_sort(F.concat(near, F.col("_far"))))
+    ordered = F.when(F.size("_far") == 0, near).otherwise(F.sort_array(F.concat(near, F.col("_far"))))
     out = agg.select(
         "contest_id", "n_steps", "n_picks", ordered.alias("seq"),
         (F.bit_count("_seen") + F.size("_far") != F.col("n_steps")).alias("repeated_slot"))
@@ -145,7 +145,7 @@ def slot_disagreements(steps: DataFrame, sample: DataFrame) -> DataFrame:
 def slot_side_anomalies(steps: DataFrame, sample: DataFrame) -> DataFrame:
     odd = steps.join(sample, "contest_id", "left_semi").filter(~F.col("side").isin(0, 1))
     return odd.groupBy("slot").agg(
-        F.concat_ws(",", F.transform(F.array_sort(F.collect_set("side")), lambda s: s.cast("string"))).alias("sides"))
+        F.concat_ws(",", F.transform(F.sort_array(F.collect_set("side")), lambda s: s.cast("string"))).alias("sides"))
 
 
 def template_pattern(template: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from draftlake.functions.scalars import shrunk, side_won
+from draftlake.functions.scalars import MILLION, millionths, shrunk, side_won
 from draftlake.operators.profiles import PRIOR_TEAM, DraftTables, eligible_picks, with_item_name
 
 
@@ -84,6 +84,7 @@ def mean_partner_rate(cands: DataFrame, keys: list[str], partners: str, rates: D
     known = (spread.join(rates, ["item_id", "partner_id"], "left")
              .join(item_rates.select(F.col("item_id").alias("partner_id"), F.col("shrunk_wr").alias("_own")),
                    "partner_id", "left"))
-    mean = known.groupBy(*keys, "item_id").agg(F.avg(F.coalesce("rate", "_own", F.lit(0.5))).alias(out))
+    ppm = millionths(F.coalesce("rate", "_own", F.lit(0.5)))
+    mean = known.groupBy(*keys, "item_id").agg((F.sum(ppm) / F.count(F.lit(1)) / MILLION).alias(out))
     joined = cands.join(mean, [*keys, "item_id"], "left")
     return joined.withColumn(out, F.coalesce(out, F.lit(0.5)))

@@ -192,6 +192,6 @@ def rosters(players: DataFrame) -> DataFrame:
     """
     seats = players.groupBy("contest_id", "side", "player_slot").agg(F.min("account_id").alias("account_id"))
     return seats.groupBy("contest_id", "side").agg(
-        F.array_sort(F.collect_list(F.when(F.col("account_id").isNotNull(), F.struct("player_slot", "account_id")))
+        F.sort_array(F.collect_list(F.when(F.col("account_id").isNotNull(), F.struct("player_slot", "account_id")))
                      ).alias("_s")
     ).select("contest_id", "side", F.transform("_s", lambda x: x["account_id"]).alias("accounts"))

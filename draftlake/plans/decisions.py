@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from draftlake.functions.scalars import MIX_MODULUS, opponent_of, sample_key, side_won, team_of
+from draftlake.functions.scalars import (
+    MIX_MODULUS, opponent_of, sample_base, sample_key, sample_mix, side_won, team_of,
+)
 from draftlake.operators.filters import in_season, is_competitive
 from draftlake.operators.windows import draft_context, draft_state
 
@@ -14,6 +16,8 @@ NEGATIVES = 30
 SPLIT_SEED = 42
 TRAIN_PERCENT = 80
 
+ID_SPAN = 32768  # item ids are two-byte integers
+
 
 def decisions(steps: DataFrame, contests: DataFrame, season: int | None = None) -> DataFrame:
     """Every step of the competitive contests with a known outcome, seen from the acting side."""
@@ -31,15 +35,25 @@ def ordered_for_training(frame: DataFrame) -> DataFrame:
     return frame.repartition("contest_id").sortWithinPartitions("contest_id", "slot")
 
 
+def spread_by_contest(df: DataFrame) -> DataFrame:
+    """Hash by contest into the session's number of shuffle partitions.
+
+    The rows are narrow here and multiply a hundred-fold right after, so their size must not let
+    adaptive execution merge them into a few tasks. The windows that follow reuse this exchange.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, "contest_id")
+
+
 def decision_states(decided: DataFrame) -> DataFrame:
     """Decisions with everything known before the slot: drafted items, allies, enemies, counts."""
-    return draft_state(draft_context(decided))
+    return draft_state(draft_context(spread_by_contest(decided)))
 
 
 def catalogue_array(items: DataFrame) -> DataFrame:
     """The item ids as one sorted array. Ids are two-byte integers, so it has a fixed bound."""
     return items.filter((F.col("item_id") > 0) & (F.col("item_id") <= 32767)).agg(
-        F.array_sort(F.collect_set("item_id")).alias("ids"))
+        F.sort_array(F.collect_set("item_id")).alias("ids"))
 
 
 def legal_pool(catalogue: Column, drafted) -> Column:
@@ -48,10 +62,14 @@ def legal_pool(catalogue: Column, drafted) -> Column:
 
 
 def sampled_pool(pool: Column, n: int, seed: int) -> Column:
-    """``n`` items of a pool in seeded order, chosen inside the row: no shuffle, no window."""
-    keyed = F.transform(pool, lambda i: F.struct(
-        sample_key(seed, "contest_id", "slot", i).alias("k"), i.alias("i")))
-    return F.transform(F.slice(F.array_sort(keyed), 1, n), lambda s: s["i"])
+    """``n`` items of a pool in seeded order, chosen inside the row: no shuffle, no window.
+
+    Key and item travel as one bigint, so the sort is over plain numbers. The one-element outer
+    transform names the per-row part of the key, which is then computed once per row.
+    """
+    base = F.array(sample_base(seed, "contest_id", "slot"))
+    packed = F.transform(base, lambda b: F.transform(pool, lambda i: sample_mix(b, i) * ID_SPAN + i))[0]
+    return F.transform(F.slice(F.sort_array(packed), 1, n), lambda k: (k % ID_SPAN).cast("int"))
 
 
 def candidate_arrays(states: DataFrame, items: DataFrame, n: int | None = NEGATIVES, seed: int = SPLIT_SEED) -> DataFrame:

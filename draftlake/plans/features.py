@@ -7,7 +7,7 @@ contest row meets its decisions on the contest id, and the lookups for all candi
 decision happen inside the row. Only then are the candidates unfolded; what remains is a join to
 the item cards (one row per two-byte item id) and arithmetic in generated code.
 
-Means are rounded to six decimals, so a frame does not depend on the order rows arrived in.
+Rates are averaged as whole millionths, so a mean does not depend on the order rows arrived in.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from draftlake.functions.scalars import attr_code, role_count
+from draftlake.functions.scalars import MILLION, attr_code, millionths, role_count
 from draftlake.operators.filters import is_competitive
 from draftlake.operators.pairs import both_directions, mean_partner_rate
 from draftlake.plans.decisions import NEGATIVES, SPLIT_SEED, candidate_arrays
@@ -39,7 +39,6 @@ FIT_INT, FIT_AGI, FIT_STR = 0.5, 0.3, 0.2
 SLOT_SCALE, SIDE_PICKS, TEAM_THREAT_GAMES = 30.0, 5, 3
 
 DENSE_ITEM_LIMIT = 512
-DIGITS = 6
 
 
 @dataclass(frozen=True)
@@ -70,7 +69,7 @@ def team_maps(team_item: DataFrame, key: str, out: str) -> DataFrame:
 def actor_maps(actor_item: DataFrame) -> DataFrame:
     """Profile of an actor as a map over items, and the actor's best rate."""
     return actor_item.groupBy("account_id").agg(
-        F.map_from_entries(F.collect_list(F.struct("item_id", "shrunk_wr"))).alias("rates"),
+        F.map_from_entries(F.collect_list(F.struct("item_id", millionths("shrunk_wr").alias("ppm")))).alias("rates"),
         F.max("shrunk_wr").alias("best"))
 
 
@@ -88,7 +87,8 @@ def roster_context(players: DataFrame, actor_item: DataFrame) -> DataFrame:
         aggs += [
             F.collect_list(of(s, F.col("rates"))).alias(f"maps{s}"),
             F.count(of(s, F.col("account_id"))).alias(f"n{s}"),
-            F.avg(of(s, F.coalesce("best", F.lit(0.5)))).alias(f"threat{s}"),
+            (F.sum(of(s, millionths(F.coalesce("best", F.lit(0.5))))) / F.count(of(s, F.col("account_id"))) / MILLION
+             ).alias(f"threat{s}"),
         ]
     return rows.groupBy("contest_id").agg(*aggs)
 
@@ -115,21 +115,21 @@ def _pair_frames(ft: FeatureTables) -> dict[str, DataFrame]:
 class PairLookup:
     """Mean rate of a candidate with its partners, read from a dense table inside the row.
 
-    The table is a constant of the plan: at most ``DENSE_ITEM_LIMIT`` squared numbers, which the
+    The table holds whole millionths and is a constant of the plan: at most ``DENSE_ITEM_LIMIT`` squared numbers, which the
     caller has checked. ``empty`` tells that no pair is known at all.
     """
 
-    def __init__(self, grid: list[list[float]], empty: bool):
+    def __init__(self, grid: list[list[int]], empty: bool):
         self.empty = empty
         self._literal = json.dumps(grid)
 
     def mean(self, partners: str):
-        grid = F.from_json(F.lit(self._literal), "array<array<double>>")
+        grid = F.from_json(F.lit(self._literal), "array<array<bigint>>")
         count = F.size(partners)
 
         def of(item: Column) -> Column:
-            total = F.aggregate(partners, F.lit(0.0), lambda acc, p: acc + grid[item][p])
-            return F.when(count > 0, F.round(total / count, DIGITS)).otherwise(0.5)
+            total = F.aggregate(partners, F.lit(0).cast("bigint"), lambda acc, p: acc + grid[item][p])
+            return F.when(count > 0, total / count / MILLION).otherwise(0.5)
         return of
 
 
@@ -141,23 +141,23 @@ def dense_pairs(ft: FeatureTables) -> dict[str, PairLookup] | None:
     """
     small = (F.col("item_id") < DENSE_ITEM_LIMIT) & (F.col("partner_id") < DENSE_ITEM_LIMIT)
     nothing = F.lit(0).alias("partner_id")
-    parts = [f.filter(small).select(F.lit(k).alias("kind"), "item_id", "partner_id", "rate")
+    parts = [f.filter(small).select(F.lit(k).alias("kind"), "item_id", "partner_id", millionths("rate").alias("ppm"))
              for k, f in _pair_frames(ft).items()]
     parts.append(ft.item_global.filter(F.col("item_id") < DENSE_ITEM_LIMIT).select(
-        F.lit("own").alias("kind"), "item_id", nothing, F.col("shrunk_wr").alias("rate")))
+        F.lit("own").alias("kind"), "item_id", nothing, millionths("shrunk_wr").alias("ppm")))
     parts.append(ft.items.agg(F.max("item_id").alias("item_id")).select(
-        F.lit("max").alias("kind"), "item_id", nothing, F.lit(0.0).alias("rate")))
+        F.lit("max").alias("kind"), "item_id", nothing, F.lit(0).cast("bigint").alias("ppm")))
     rows = reduce(DataFrame.unionByName, parts).collect()
     size = 1 + max((r["item_id"] or 0 for r in rows), default=0)
     if size > DENSE_ITEM_LIMIT:
         return None
-    own = {r["item_id"]: r["rate"] for r in rows if r["kind"] == "own"}
+    own = {r["item_id"]: r["ppm"] for r in rows if r["kind"] == "own"}
     out = {}
     for kind in ("syn", "ctr"):
-        grid = [[own.get(i, 0.5) for i in range(size)] for _ in range(size)]
+        grid = [[own.get(i, MILLION // 2) for i in range(size)] for _ in range(size)]
         known = [r for r in rows if r["kind"] == kind]
         for r in known:
-            grid[r["item_id"]][r["partner_id"]] = r["rate"]
+            grid[r["item_id"]][r["partner_id"]] = r["ppm"]
         out[kind] = PairLookup(grid, not known)
     return out
 
@@ -169,7 +169,9 @@ def item_cards(ft: FeatureTables) -> DataFrame:
     meta = ft.items.select("item_id", attr_code("primary_attr").alias("attr"), role_count("roles").alias("roles_n"))
     rates = ft.item_global.select("item_id", F.col("picks").alias("g_picks"), F.col("shrunk_wr").alias("g_rate"))
     priors = ft.priors.select("item_id", "item_pick_rate", "item_wr", "item_popularity")
-    return meta.join(rates, "item_id", "left").join(priors, "item_id", "left")
+    cards = meta.join(rates, "item_id", "left").join(priors, "item_id", "left")
+    # One row per id and at most 32767 ids: the bound that makes the broadcast safe.
+    return F.broadcast(cards.filter(F.col("item_id").between(1, 32767)))
 
 
 # --- assembly -----------------------------------------------------------------------------
@@ -193,7 +195,7 @@ def candidate_features(states: DataFrame, ft: FeatureTables, n: int | None = NEG
         "item_id", "others", "allies", "enemies", "team_picks_before", "enemy_picks_before",
         _of_side(True, "team_map").alias("own_map"), _of_side(False, "team_map").alias("opp_map"),
         _of_side(True, "maps").alias("actors"), F.coalesce(_of_side(True, "n"), F.lit(0)).alias("n_actors"),
-        F.coalesce(F.round(_of_side(False, "threat"), DIGITS), F.lit(0.5)).alias("roster_threat"))
+        F.coalesce(_of_side(False, "threat"), F.lit(0.5)).alias("roster_threat"))
 
     partners = {"syn": "allies", "ctr": "enemies"}
     in_row = {k: dense[k].mean(c) for k, c in partners.items() if not dense[k].empty} if dense else {}
@@ -205,24 +207,23 @@ def candidate_features(states: DataFrame, ft: FeatureTables, n: int | None = NEG
             item.alias("item_id"), label.alias("label"),
             own["games"].alias("team_games"), own["shrunk_wr"].alias("team_rate"),
             opp["games"].alias("opp_games"), opp["shrunk_wr"].alias("opp_rate"),
-            F.aggregate(known, F.lit(0.0), lambda acc, r: acc + r).alias("known_rate_sum"),
+            F.aggregate(known, F.lit(0).cast("bigint"), lambda acc, r: acc + r).alias("known_ppm"),
             F.size(known).alias("known_rates"),
         ]
         fields += [mean(item).alias(k) for k, mean in in_row.items()]
         return F.struct(*fields)
 
-    chosen = F.array(look_up(F.col("item_id"), F.lit(1.0)))
-    rest = F.transform("others", lambda i: look_up(i, F.lit(0.0)))
+    pool = F.concat(F.array("item_id"), F.col("others"))
+    looked_up = F.transform(pool, lambda i, at: look_up(i, F.when(at == 0, 1.0).otherwise(0.0)))
     keep = ["contest_id", "season_id", "slot", "is_pick", "side", "acting_team", "opp_team", "acting_won",
             "team_picks_before", "enemy_picks_before", "n_actors", "roster_threat"]
     if dense is None:
         keep += list(partners.values())
-    cands = rows.select(*keep, F.inline(F.concat(chosen, rest)))
+    cands = rows.select(*keep, F.inline(looked_up))
     known = {k: not dense[k].empty for k in partners} if dense else dict.fromkeys(partners, True)
     if dense is None:
         for k, frame in _pair_frames(ft).items():
             cands = mean_partner_rate(cands, ["contest_id", "slot"], partners[k], frame, ft.item_global, k)
-            cands = cands.withColumn(k, F.round(k, DIGITS))
     return _assemble(cands.join(item_cards(ft), "item_id", "left"), ft, known, threat)
 
 
@@ -235,9 +236,8 @@ def _assemble(c: DataFrame, ft: FeatureTables, known: dict[str, bool], threat: s
         return F.when(cond, 1.0).otherwise(0.0)
 
     is_str, is_agi, is_int = (flag((attr == k) | (attr == 4)) for k in (1, 2, 3))
-    comfort = F.when(F.col("n_actors") > 0, F.round(
-        (F.col("known_rate_sum") + (F.col("n_actors") - F.col("known_rates")) * own_rate) / F.col("n_actors"), DIGITS)
-    ).otherwise(0.5)
+    comfort_sum = F.col("known_ppm") + (F.col("n_actors") - F.col("known_rates")) * millionths(own_rate)
+    comfort = F.when(F.col("n_actors") > 0, comfort_sum / F.col("n_actors") / MILLION).otherwise(0.5)
     if not ft.actors_known:
         comfort = own_rate
     team_threat = F.when(F.col("opp_games") >= TEAM_THREAT_GAMES, F.col("opp_rate")).otherwise(0.0)
@@ -252,7 +252,7 @@ def _assemble(c: DataFrame, ft: FeatureTables, known: dict[str, bool], threat: s
         "star_threat": team_threat if threat == "team" else F.col("roster_threat"),
         "hero_pick_rate": F.coalesce(F.col("item_pick_rate"), unseen_rate),
         "hero_wr": F.coalesce("item_wr", F.lit(0.5)),
-        "hero_popularity": F.round(F.coalesce("item_popularity", F.lit(0.0)), DIGITS),
+        "hero_popularity": F.round(F.coalesce("item_popularity", F.lit(0.0)), 6),
         "attr_is_str": is_str, "attr_is_agi": is_agi, "attr_is_int": is_int,
         "attr_fit_score": tp * F.greatest(is_int * FIT_INT, is_agi * FIT_AGI, is_str * FIT_STR),
         "draft_slot_norm": F.col("slot") / SLOT_SCALE,

@@ -195,7 +195,7 @@ def decisions_all_seasons(spark, d):
 
 
 # The seeded order of the negatives, stated in SQL.
-SAMPLE_KEY = """(((k1 * k1 + i) % 2147483647) * ((k1 * k1 + i) % 2147483647) + slot) % 2147483647"""
+SAMPLE_KEY = "(k1 * k1 + i) % 2147483647"
 CANDIDATES = """pk AS (SELECT * FROM dec WHERE is_pick),
     free AS (SELECT pk.contest_id, pk.slot, it.item_id AS i FROM pk, {items} it WHERE NOT EXISTS (
       SELECT 1 FROM dec o WHERE o.contest_id = pk.contest_id AND o.slot <= pk.slot AND o.item_id = it.item_id)),
@@ -229,8 +229,7 @@ def legal_pool(spark, d):
 
 
 _TRAIN_K = "(contest_id % 2147483647 * 48271 + 42) % 2147483647"
-_TRAIN = f"""floor(((({_TRAIN_K}) * ({_TRAIN_K}) % 2147483647) * (({_TRAIN_K}) * ({_TRAIN_K}) % 2147483647)
-    % 2147483647) * 100 / 2147483647) < 80"""
+_TRAIN = f"floor((({_TRAIN_K}) * ({_TRAIN_K}) % 2147483647) * 100 / 2147483647) < 80"
 
 
 @query(sql("contests", f"SELECT contest_id, {_TRAIN} AS is_training FROM contests"))

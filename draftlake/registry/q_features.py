@@ -38,32 +38,32 @@ _LOOKUPS = f"""gl AS (SELECT item_id, count(*) AS picks, {shrunk(3)} AS rate FRO
       (CAST(sum(value_label) AS BIGINT) + 10.0::DOUBLE) / (count(*) + 20.0::DOUBLE) AS wr, ln(1 + count(*)) AS pop
       FROM pk WHERE item_id > 0 GROUP BY 1),
     dp AS (SELECT contest_id, slot, item_id, side FROM dec WHERE is_pick),
-    ally AS (SELECT c.contest_id, c.slot, c.item_id, avg(coalesce(s.shrunk_wr, g.rate, 0.5::DOUBLE)) AS syn FROM cand c
+    ally AS (SELECT c.contest_id, c.slot, c.item_id, CAST(sum(CAST(round(coalesce(s.shrunk_wr, g.rate, 0.5::DOUBLE) * 1000000) AS BIGINT)) AS BIGINT) / count(*) / 1000000 AS syn FROM cand c
       JOIN pk ON pk.contest_id = c.contest_id AND pk.slot = c.slot
       JOIN dp o ON o.contest_id = c.contest_id AND o.slot < c.slot AND o.side = pk.side
       LEFT JOIN seq_synergy_all s ON s.item_a = least(c.item_id, o.item_id) AND s.item_b = greatest(c.item_id, o.item_id)
       LEFT JOIN gl g ON g.item_id = o.item_id GROUP BY 1, 2, 3),
-    foe AS (SELECT c.contest_id, c.slot, c.item_id, avg(coalesce(s.shrunk_wr, g.rate, 0.5::DOUBLE)) AS ctr FROM cand c
+    foe AS (SELECT c.contest_id, c.slot, c.item_id, CAST(sum(CAST(round(coalesce(s.shrunk_wr, g.rate, 0.5::DOUBLE) * 1000000) AS BIGINT)) AS BIGINT) / count(*) / 1000000 AS ctr FROM cand c
       JOIN pk ON pk.contest_id = c.contest_id AND pk.slot = c.slot
       JOIN dp o ON o.contest_id = c.contest_id AND o.slot < c.slot AND o.side <> pk.side
       LEFT JOIN seq_counter_all s ON s.item_a = c.item_id AND s.item_b = o.item_id
       LEFT JOIN gl g ON g.item_id = o.item_id GROUP BY 1, 2, 3),
     ros AS (SELECT contest_id, side, account_id FROM seq_players WHERE account_id IS NOT NULL AND won IS NOT NULL),
-    com AS (SELECT c.contest_id, c.slot, c.item_id, avg(coalesce(a.shrunk_wr, g.rate, 0.5::DOUBLE)) AS comfort FROM cand c
+    com AS (SELECT c.contest_id, c.slot, c.item_id, CAST(sum(CAST(round(coalesce(a.shrunk_wr, g.rate, 0.5::DOUBLE) * 1000000) AS BIGINT)) AS BIGINT) / count(*) / 1000000 AS comfort FROM cand c
       JOIN pk ON pk.contest_id = c.contest_id AND pk.slot = c.slot
       JOIN ros r ON r.contest_id = c.contest_id AND r.side = pk.side
       LEFT JOIN seq_actor_item_all a ON a.account_id = r.account_id AND a.item_id = c.item_id
       LEFT JOIN gl g ON g.item_id = c.item_id GROUP BY 1, 2, 3),
     best AS (SELECT account_id, max(shrunk_wr) AS b FROM seq_actor_item_all GROUP BY 1),
-    thr AS (SELECT contest_id, side, avg(coalesce(b, 0.5::DOUBLE)) AS threat FROM ros LEFT JOIN best USING (account_id) GROUP BY 1, 2),
+    thr AS (SELECT contest_id, side, CAST(sum(CAST(round(coalesce(b, 0.5::DOUBLE) * 1000000) AS BIGINT)) AS BIGINT) / count(*) / 1000000 AS threat FROM ros LEFT JOIN best USING (account_id) GROUP BY 1, 2),
     cx AS (SELECT p.contest_id, p.slot, count_if(o.side = p.side) AS tp, count_if(o.side <> p.side) AS ep
       FROM pk p LEFT JOIN dp o ON o.contest_id = p.contest_id AND o.slot < p.slot GROUP BY 1, 2),
     f0 AS (SELECT c.contest_id, c.slot, c.item_id, c.label, pk.side, coalesce(tp, 0) AS tp, coalesce(ep, 0) AS ep,
       coalesce(t.games, gl.picks, 0)::DOUBLE AS team_picks, coalesce(t.shrunk_wr, gl.rate, 0.5::DOUBLE) AS team_wr_shrunk,
-      round(coalesce(syn, 0.5::DOUBLE), 6) AS mean_syn_with_allies, round(coalesce(ctr, 0.5::DOUBLE), 6) AS mean_counter_vs_enemies,
+      coalesce(syn, 0.5::DOUBLE) AS mean_syn_with_allies, coalesce(ctr, 0.5::DOUBLE) AS mean_counter_vs_enemies,
       CASE primary_attr WHEN 'str' THEN 1 WHEN 'agi' THEN 2 WHEN 'int' THEN 3 WHEN 'all' THEN 4 ELSE 0 END AS attr,
-      coalesce(len(roles), 0)::DOUBLE AS hero_meta_role_count, round(coalesce(comfort, 0.5::DOUBLE), 6) AS player_comfort,
-      round(coalesce(threat, 0.5::DOUBLE), 6) AS roster_threat,
+      coalesce(len(roles), 0)::DOUBLE AS hero_meta_role_count, coalesce(comfort, 0.5::DOUBLE) AS player_comfort,
+      coalesce(threat, 0.5::DOUBLE) AS roster_threat,
       CASE WHEN o.games >= 3 THEN o.shrunk_wr ELSE 0.0::DOUBLE END AS team_threat,
       coalesce(pick_rate, 2.0::DOUBLE / ((SELECT count(*) FROM pk WHERE item_id > 0) + 4.0::DOUBLE)) AS hero_pick_rate,
       coalesce(wr, 0.5::DOUBLE) AS hero_wr, round(coalesce(pop, 0), 6) AS hero_popularity
