@@ -158,3 +158,79 @@ def with_contest(players: DataFrame, contests_df: DataFrame) -> DataFrame:
     """Player rows with the contest's time, season, lobby and the outcome of their side."""
     c = contests_df.select("contest_id", "start_time", "season_id", "lobby", "league_id", "side0_won")
     return players.join(c, "contest_id").withColumn("won", side_won("side", "side0_won")).drop("side0_won")
+
+
+def contest_documents(spark: SparkSession, sf_dir: str, faulty: bool = False) -> DataFrame:
+    """Nested JSON documents of the line variant, in a column ``raw``.
+
+    A document holds at most 25 steps and ten players: both were reduced to one row per brand or
+    seat before they are gathered. With ``faulty`` some documents of undecided orders break the
+    validity rules, by lobby.
+    """
+    base = contests(spark, sf_dir)
+    steps = line_steps(spark, sf_dir)
+    slot, item = F.col("slot"), F.col("item_id")
+    step_lists = steps.groupBy("contest_id").agg(F.sort_array(F.collect_list(F.struct(
+        slot.alias("slot"), "is_pick", "item_id", "side"))).alias("s"))
+    seats = line_players(spark, sf_dir).groupBy("contest_id").agg(F.sort_array(F.collect_list(F.struct(
+        "player_slot", "account_id", "item_id", "side"))).alias("p"))
+    docs = base.join(step_lists, "contest_id").join(seats, "contest_id", "left")
+    played = F.col("lobby") != 3
+    undecided = F.col("side0_won").isNull() & F.lit(faulty)
+
+    def curve(n: Column, factor: Column) -> Column:
+        return F.when(played, F.transform(F.sequence(F.lit(1), n), lambda i: (i * factor).cast("int")))
+
+    def player(p: Column) -> Column:
+        seat = p["player_slot"] % 128
+        won = side_won(p["side"], F.col("side0_won")).cast("int")
+        return F.struct(
+            F.when(undecided & (F.col("lobby") == 2), 99).otherwise(p["player_slot"]).alias("player_slot"),
+            p["account_id"].alias("account_id"), p["item_id"].alias("hero_id"),
+            (p["side"] == 0).alias("isRadiant"), won.alias("win"), F.col("season_id").alias("patch"),
+            (p["item_id"] % 10).alias("kills"), (seat % 2).alias("firstblood_claimed"),
+            curve(seat + 1, p["item_id"]).alias("gold_t"), curve(seat + 1, p["item_id"] * 7).alias("xp_t"),
+            curve(seat + 2, p["item_id"] * 3000).alias("lh_t"), curve(seat + 3, F.lit(60)).alias("times"),
+            F.when((seat == 0) & played, F.array(F.struct(F.lit(5).alias("time"), F.lit("tango").alias("key")))).alias("purchase_log"),
+            F.struct(p["item_id"].alias("n")).alias("killed"))
+
+    def step(s: Column) -> Column:
+        return F.struct(s["slot"].alias("order"), s["is_pick"].alias("is_pick"), s["item_id"].alias("hero_id"),
+                        F.when(undecided & (F.col("lobby") == 1), 2).otherwise(s["side"]).alias("team"))
+
+    def timing(s: Column) -> Column:
+        return F.struct(s["slot"].alias("order"), s["is_pick"].alias("pick"), s["side"].alias("active_team"),
+                        F.when(s["is_pick"], s["item_id"]).otherwise(0).alias("hero_id"),
+                        (s["slot"] * 3).alias("total_time_taken"))
+
+    def objective(s: Column) -> Column:
+        key = F.when(s["is_pick"], F.concat(F.lit('"k'), s["item_id"].cast("string"), F.lit('"'))).otherwise(
+            s["item_id"].cast("string"))
+        return F.struct((s["slot"] * 60).alias("time"), F.lit("building_kill").alias("type"), s["side"].alias("team"),
+                        F.parse_json(key).alias("key"))
+
+    def chat(s: Column) -> Column:
+        return F.struct((s["slot"] * 10).alias("time"), F.lit("chat").alias("type"), s["side"].alias("player_slot"),
+                        F.concat(F.lit("line "), s["item_id"].cast("string")).alias("key"))
+
+    def fight(s: Column) -> Column:
+        return F.struct((s["slot"] * 100).alias("end"), s["item_id"].alias("deaths"),
+                        F.array(F.struct(s["side"].alias("side"))).alias("players"))
+
+    c = F.col("contest_id")
+    advantage = F.when(F.col("side0_won").isNotNull(), F.transform("s", lambda s: s["item_id"] * 10)).otherwise(
+        F.array().cast("array<int>"))
+    return docs.select(F.to_json(F.struct(
+        c.alias("match_id"),
+        F.when(~(undecided & (F.col("lobby") == 5)), F.col("start_time")).alias("start_time"),
+        F.when(undecided & (F.col("lobby") == 4), -1).otherwise(600 + c % 3000).alias("duration"),
+        F.col("side0_won").alias("radiant_win"), F.col("lobby").alias("lobby_type"), F.lit(2).alias("game_mode"),
+        F.col("season_id").alias("patch"), F.col("league_id").alias("leagueid"),
+        F.col("team0").alias("radiant_team_id"), F.col("team1").alias("dire_team_id"),
+        (c % 50).alias("radiant_score"), F.lit("").alias("replay_url"),
+        F.transform("p", player).alias("players"), F.transform("s", step).alias("picks_bans"),
+        F.transform("s", timing).alias("draft_timings"), F.transform("s", objective).alias("objectives"),
+        F.transform("s", chat).alias("chat"), F.transform("s", fight).alias("teamfights"),
+        advantage.alias("radiant_gold_adv"), F.array().cast("array<int>").alias("radiant_xp_adv"),
+        F.when(F.col("league_id") > 0, F.create_map(F.lit("1"), F.col("lobby"))).alias("cosmetics"),
+    )).alias("raw"))
