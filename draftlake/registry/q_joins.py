@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from draftlake.functions.scalars import millionths
 from draftlake.operators import filters, joins, maintenance, pairs, profiles, reports, upserts
 from draftlake.plans import decisions as dec
 from draftlake.plans import refresh
@@ -150,13 +151,15 @@ def mean_partner_rate(spark, d):
     return pairs.mean_partner_rate(picked, ["contest_id", "slot"], "allies", rates, profiles.item_global(t), "mean_syn").drop("allies")
 
 
-@query(sql("line_players line_actor_item_all", """SELECT contest_id, side, item_id, max(a.shrunk_wr) AS comfort FROM (
-    SELECT contest_id, side, account_id FROM line_players WHERE account_id IS NOT NULL) r JOIN line_actor_item_all a
-    USING (account_id) GROUP BY 1, 2, 3"""))
+@query(sql("line_players line_actor_item_all", """SELECT item_id, count(*) AS n, CAST(sum(CAST(round(comfort * 1000000) AS BIGINT)) AS BIGINT) AS comfort_sum FROM (
+    SELECT contest_id, side, item_id, max(a.shrunk_wr) AS comfort FROM (
+      SELECT contest_id, side, account_id FROM line_players WHERE account_id IS NOT NULL) r JOIN line_actor_item_all a
+      USING (account_id) GROUP BY 1, 2, 3) GROUP BY 1"""))
 def roster_comfort(spark, d):
     from draftlake.plans.evaluation import comfort_table
     t = line_tables(spark, d)
-    return comfort_table(t.players, profiles.actor_item_profile(t, None))
+    best = comfort_table(t.players, profiles.actor_item_profile(t, None))
+    return best.groupBy("item_id").agg(F.count(F.lit(1)).alias("n"), F.sum(millionths("comfort")).alias("comfort_sum"))
 
 
 @query(sql("comp line_steps line_team_item_all", """WITH gl AS (SELECT item_id, count(*) AS picks FROM line_steps JOIN comp
