@@ -10,6 +10,7 @@ from draftlake.functions.scalars import (
 )
 from draftlake.operators.filters import in_season, is_competitive
 from draftlake.operators.windows import draft_context, draft_state
+from draftlake.sources.tables import spread
 
 # Sampled negatives per decision, seed and training share of the split.
 NEGATIVES = 30
@@ -35,19 +36,9 @@ def ordered_for_training(frame: DataFrame) -> DataFrame:
     return frame.repartition("contest_id").sortWithinPartitions("contest_id", "slot")
 
 
-def spread_by_contest(df: DataFrame) -> DataFrame:
-    """Hash by contest into the session's number of shuffle partitions.
-
-    The rows are narrow here and multiply a hundred-fold right after, so their size must not let
-    adaptive execution merge them into a few tasks. The windows that follow reuse this exchange.
-    """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, "contest_id")
-
-
 def decision_states(decided: DataFrame) -> DataFrame:
     """Decisions with everything known before the slot: drafted items, allies, enemies, counts."""
-    return draft_state(draft_context(spread_by_contest(decided)))
+    return draft_state(draft_context(spread(decided, "contest_id")))
 
 
 def catalogue_array(items: DataFrame) -> DataFrame:

@@ -15,8 +15,9 @@ from draftlake.sources.documents import parse_documents
 from draftlake.sources.tables import load
 
 
-def docs(spark, d, faulty=False):
-    return parse_documents(star.contest_documents(spark, d, faulty))
+def docs(spark, d, *fields, faulty=False):
+    """Parsed documents, restricted to the named top-level fields when there are any."""
+    return parse_documents(star.contest_documents(spark, d, faulty), fields=[*fields] if fields else None)
 
 
 _HELD = "WHERE contest_id IN (SELECT l_orderkey FROM lineitem)"
@@ -42,7 +43,7 @@ def decode_contests_zero_filled(spark, d):
     item_id % 10 AS kills, player_slot % 128 % 2 <> 0 AS firstblood_claimed, false AS is_roaming, CAST(NULL AS INTEGER) AS gold
     FROM line_players"""))
 def decode_players(spark, d):
-    return decode.decode_players(docs(spark, d)).select(
+    return decode.decode_players(docs(spark, d, "match_id", "start_time", "players")).select(
         "contest_id", "player_slot", "start_time", "account_id", "item_id", "side", "won", "season_id", "kills",
         "firstblood_claimed", "is_roaming", "gold")
 
@@ -51,50 +52,50 @@ def decode_players(spark, d):
     '[{"time":5,"key":"tango"}]' END AS purchase_log, '{"n":' || item_id || '}' AS killed, CAST(NULL AS VARCHAR) AS damage
     FROM line_players WHERE lobby <> 3"""))
 def decode_player_details(spark, d):
-    return decode.decode_player_details(docs(spark, d)).select(
+    return decode.decode_player_details(docs(spark, d, "match_id", "players")).select(
         "contest_id", "player_slot", "purchase_log", "killed", "damage")
 
 
 @query(sql("line_steps", "SELECT contest_id, slot, is_pick, item_id, side FROM line_steps"))
 def decode_steps(spark, d):
-    return decode.decode_steps(docs(spark, d))
+    return decode.decode_steps(docs(spark, d, "match_id", "picks_bans"))
 
 
 @query(sql("line_steps", """SELECT contest_id, slot, is_pick, side AS active_side, CASE WHEN is_pick THEN item_id END AS item_id,
     CAST(NULL AS INTEGER) AS player_slot, CAST(NULL AS INTEGER) AS extra_time, slot * 3 AS total_time_taken FROM line_steps"""))
 def decode_draft_timings(spark, d):
-    return decode.decode_draft_timings(docs(spark, d))
+    return decode.decode_draft_timings(docs(spark, d, "match_id", "draft_timings"))
 
 
 @query(sql("line_steps", """SELECT contest_id, slot * 60 AS time, 'building_kill' AS type, 0 AS slot, 0 AS player_slot,
     side AS team, CASE WHEN is_pick THEN 'k' ELSE '' END || item_id AS key, 0 AS value, '' AS unit FROM line_steps"""))
 def decode_objectives(spark, d):
-    return decode.decode_objectives(docs(spark, d)).drop("raw")
+    return decode.decode_objectives(docs(spark, d, "match_id", "objectives")).drop("raw")
 
 
 @query(sql("line_steps", """SELECT contest_id, slot * 10 AS time, 'chat' AS type, '' AS unit, 'line ' || item_id AS key,
     side AS player_slot FROM line_steps"""))
 def decode_chat(spark, d):
-    return decode.decode_chat(docs(spark, d))
+    return decode.decode_chat(docs(spark, d, "match_id", "chat"))
 
 
 @query(sql("line_steps", """SELECT contest_id, slot * 100 AS end_time, 0 AS last_death, item_id AS deaths,
     '[{"side":' || side || '}]' AS players FROM line_steps"""))
 def decode_teamfights(spark, d):
-    return decode.decode_teamfights(docs(spark, d))
+    return decode.decode_teamfights(docs(spark, d, "match_id", "teamfights"))
 
 
 @query(sql("line_steps contests", """SELECT contest_id, string_agg(CAST(item_id * 10 AS VARCHAR), ',' ORDER BY slot) AS gold_adv,
     '' AS xp_adv FROM line_steps JOIN contests USING (contest_id) WHERE side0_won IS NOT NULL GROUP BY 1"""))
 def decode_advantages(spark, d):
-    a = decode.decode_advantages(docs(spark, d))
+    a = decode.decode_advantages(docs(spark, d, "match_id", "radiant_gold_adv", "radiant_xp_adv"))
     text = lambda c: F.array_join(F.transform(c, lambda i: i.cast("string")), ",")
     return a.select("contest_id", text("gold_adv").alias("gold_adv"), text("xp_adv").alias("xp_adv"))
 
 
 @query(sql("contests", f"""SELECT contest_id, '{{"1":' || lobby || '}}' AS cosmetics FROM contests {_HELD} AND league_id > 0"""))
 def decode_cosmetics(spark, d):
-    return decode.decode_cosmetics(docs(spark, d))
+    return decode.decode_cosmetics(docs(spark, d, "match_id", "cosmetics"))
 
 
 @query(sql("line_players", """SELECT contest_id, player_slot, CAST(m AS INTEGER) AS minute, start_time, item_id, account_id, season_id,
@@ -105,20 +106,20 @@ def decode_cosmetics(spark, d):
         "THEN (m + 1) * item_id ELSE", "THEN CAST((m + 1) * item_id AS INTEGER) ELSE").replace(
         "THEN (m + 1) * item_id * 7 ELSE", "THEN CAST((m + 1) * item_id * 7 AS INTEGER) ELSE")))
 def expand_timeseries(spark, d):
-    return decode.expand_timeseries(decode.decode_players(docs(spark, d)))
+    return decode.expand_timeseries(decode.decode_players(docs(spark, d, "match_id", "start_time", "players")))
 
 
 @query(sql("contests", f"""SELECT contest_id, lobby <> 3 AS is_parsed FROM contests {_HELD}"""))
 def parsed_flags(spark, d):
-    return docs(spark, d).select(F.col("match_id").alias("contest_id"), filters.is_parsed("players").alias("is_parsed"))
+    return docs(spark, d, "match_id", "players").select(F.col("match_id").alias("contest_id"), filters.is_parsed("players").alias("is_parsed"))
 
 
 @query(sql("contests", f"""SELECT coalesce(CASE WHEN contest_id = 0 THEN 'invalid_contest_id' WHEN side0_won IS NULL THEN
       CASE lobby WHEN 1 THEN 'invalid_pick_side' WHEN 2 THEN 'invalid_player_slot' WHEN 4 THEN 'negative_duration'
       WHEN 5 THEN 'start_time_missing' END END, 'ok') AS reason, count(*) AS n FROM contests {_HELD} GROUP BY 1"""))
 def contest_validation(spark, d):
-    ok, rejected = filters.validate_contests(docs(spark, d, faulty=True))
-    return ok.select(F.lit("ok").alias("reason")).unionByName(rejected.select("reason")).groupBy("reason").agg(
+    checked = docs(spark, d, "match_id", "start_time", "duration", "players", "picks_bans", faulty=True)
+    return checked.groupBy(F.coalesce(filters.rejection_reason(), F.lit("ok")).alias("reason")).agg(
         F.count(F.lit(1)).alias("n"))
 
 

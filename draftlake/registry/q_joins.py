@@ -381,7 +381,7 @@ def moved_contests(spark, d):
 @query(sql("line_players", "SELECT contest_id, player_slot FROM line_players WHERE lobby <> 3"))
 def parsed_children(spark, d):
     from draftlake.operators import decode
-    flagged = docs(spark, d).withColumn("is_parsed", filters.is_parsed("players"))
+    flagged = docs(spark, d, "match_id", "start_time", "players").withColumn("is_parsed", filters.is_parsed("players"))
     return decode.decode_players(upserts.parsed_only(flagged)).select("contest_id", "player_slot")
 
 
@@ -439,9 +439,11 @@ _HELD = "contest_id IN (SELECT l_orderkey FROM lineitem)"
     SELECT CASE WHEN reason = 'ok' THEN 'ok' WHEN reason LIKE 'draft%' THEN 'draft_schema' ELSE 'validate' END AS kind, reason,
     count(*) AS n FROM r GROUP BY ALL"""))
 def quarantine_split(spark, d):
-    good, bad = qt.split_quarantine(docs(spark, d, faulty=True), 0)
-    fine = good.select(F.lit("ok").alias("kind"), F.lit("ok").alias("reason"))
-    return fine.unionByName(bad.select("kind", "reason")).groupBy("kind", "reason").agg(F.count(F.lit(1)).alias("n"))
+    checked = qt.with_fault(docs(spark, d, "match_id", "start_time", "duration", "game_mode", "players", "picks_bans",
+                                 faulty=True))
+    ok = F.lit("ok")
+    return checked.groupBy(F.coalesce("kind", ok).alias("kind"), F.coalesce("reason", ok).alias("reason")).agg(
+        F.count(F.lit(1)).alias("n"))
 
 
 def _quarantine(spark, d):

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from draftlake.functions.scalars import epoch_of
@@ -96,7 +97,8 @@ def stream_ingest(spark, d):
 def ranking_model(spark, d):
     """Weights of the pairwise ranker with its recall on the validation contests."""
     from draftlake.plans.decisions import split_by_contest
-    train, valid = split_by_contest(feature_frame(spark, d))
+    # Read twice, for the fit and for the evaluation.
+    train, valid = split_by_contest(feature_frame(spark, d).persist(StorageLevel.MEMORY_AND_DISK))
     weights = models.fit_ranker(train)
     recall = ev.sampled_recall(models.rank_score(valid, weights))
     rows = F.array(*[F.struct(F.lit(f).alias("feature"), F.lit(w).alias("weight")) for f, w in weights.items()])

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from draftlake.schemas import DOCUMENT_DDL
+from draftlake.schemas import document_schema
 
 
 def read_match_docs(spark: SparkSession, path: str, one_per_line: bool = True) -> DataFrame:
@@ -18,10 +19,12 @@ def stream_match_docs(spark: SparkSession, path: str, files_per_batch: int = 100
             .withColumnRenamed("value", "raw"))
 
 
-def parse_documents(df: DataFrame, raw: str = "raw") -> DataFrame:
+def parse_documents(df: DataFrame, raw: str = "raw", fields: list[str] | None = None) -> DataFrame:
     """The document's fields beside ``raw``; text that is no JSON object leaves them all null.
 
-    Fields nobody reads are pruned from the parse by Catalyst.
+    ``fields`` names the top-level fields to read; the parser skips the rest.
     """
-    keep = [c for c in df.columns]
-    return df.withColumn("_d", F.from_json(raw, DOCUMENT_DDL)).select(*keep, "_d.*")
+    schema = document_schema()
+    if fields is not None:
+        schema = T.StructType([f for f in schema.fields if f.name in fields])
+    return df.withColumn("_d", F.from_json(raw, schema)).select(*df.columns, "_d.*")

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from draftlake.functions.scalars import epoch_of, known_id, side_won
 from draftlake.operators.drafts import STANDARD_TEMPLATE
-from draftlake.sources.tables import load
+from draftlake.sources.tables import load, spread
 
 ITEM_COUNT = 127
 AS_OF = "2001-08-01"
@@ -56,12 +56,12 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.join(part, lines.l_partkey == part.p_partkey)
 
 
-def line_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+def line_steps(spark: SparkSession, sf_dir: str, spread_contests: bool = False) -> DataFrame:
     """(contest_id, slot, is_pick, item_id, side) from order lines, one row per order and brand."""
     first = _lines(spark, sf_dir).groupBy(F.col("l_orderkey").alias("contest_id"), "item_id").agg(
         F.min(F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_returnflag")).alias("f"))
     w = W.partitionBy("contest_id").orderBy("f.l_linenumber", "item_id")
-    return first.select(
+    return (spread(first, "contest_id") if spread_contests else first).select(
         "contest_id",
         (F.row_number().over(w) - 1).alias("slot"),
         (F.col("f.l_returnflag") != "A").alias("is_pick"),
@@ -168,7 +168,7 @@ def contest_documents(spark: SparkSession, sf_dir: str, faulty: bool = False) ->
     validity rules, by lobby.
     """
     base = contests(spark, sf_dir)
-    steps = line_steps(spark, sf_dir)
+    steps = line_steps(spark, sf_dir, spread_contests=True)
     slot, item = F.col("slot"), F.col("item_id")
     step_lists = steps.groupBy("contest_id").agg(F.sort_array(F.collect_list(F.struct(
         slot.alias("slot"), "is_pick", "item_id", "side"))).alias("s"))
