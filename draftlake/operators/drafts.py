@@ -58,6 +58,7 @@ def draft_sequences(steps: DataFrame) -> DataFrame:
     agg = steps.groupBy("contest_id").agg(
         F.count(F.lit(1)).alias("n_steps"),
         F.count_if("is_pick").alias("n_picks"),
+        F.max(F.when(inside, slot)).alias("_last"),
         mask(F.lit(True)).alias("_seen"),
         mask(F.col("is_pick")).alias("_pick"),
         mask(F.col("side") == 1).alias("_side"),
@@ -68,7 +69,7 @@ def draft_sequences(steps: DataFrame) -> DataFrame:
         return F.expr(mask_col).bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("bigint"), i)) != 0
 
     near = F.transform(
-        F.filter(F.sequence(F.lit(0), F.lit(_BITS)), lambda i: has("_seen", i)),
+        F.filter(F.sequence(F.lit(0), F.coalesce("_last", F.lit(0))), lambda i: has("_seen", i)),
         lambda i: F.struct(i.alias("slot"), has("_pick", i).alias("is_pick"),
                            F.when(has("_side", i), 1).otherwise(0).alias("side")))
     ordered = F.when(F.size("_far") == 0, near).otherwise(F.sort_array(F.concat(near, F.col("_far"))))
