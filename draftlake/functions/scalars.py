@@ -55,8 +55,12 @@ MILLION = 1_000_000
 
 
 def millionths(rate) -> Column:
-    """A rate as a whole number of millionths; sums of these are exact in any order."""
-    return F.round(as_col(rate) * MILLION).cast("bigint")
+    """A non-negative number in whole millionths; sums of these are exact in any order.
+
+    Half rounds up. ``floor`` stays in generated arithmetic, where ``round`` of a double goes
+    through a decimal text for every value.
+    """
+    return F.floor(as_col(rate) * MILLION + 0.5).cast("bigint")
 
 
 # --- time (epoch seconds; independent of the session time zone) ---------------------------

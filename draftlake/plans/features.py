@@ -39,6 +39,7 @@ FIT_INT, FIT_AGI, FIT_STR = 0.5, 0.3, 0.2
 SLOT_SCALE, SIDE_PICKS, TEAM_THREAT_GAMES = 30.0, 5, 3
 
 DENSE_ITEM_LIMIT = 512
+COUNT_UNIT = 1 << 40  # rates are millionths, so their sum over a roster stays far below this
 
 
 @dataclass(frozen=True)
@@ -168,7 +169,8 @@ def item_cards(ft: FeatureTables) -> DataFrame:
     """Attribute, roles, global rate and priors per item: one row per two-byte id."""
     meta = ft.items.select("item_id", attr_code("primary_attr").alias("attr"), role_count("roles").alias("roles_n"))
     rates = ft.item_global.select("item_id", F.col("picks").alias("g_picks"), F.col("shrunk_wr").alias("g_rate"))
-    priors = ft.priors.select("item_id", "item_pick_rate", "item_wr", "item_popularity")
+    priors = ft.priors.select("item_id", "item_pick_rate", "item_wr",
+                               F.round("item_popularity", 6).alias("item_popularity"))
     cards = meta.join(rates, "item_id", "left").join(priors, "item_id", "left")
     # One row per id and at most 32767 ids: the bound that makes the broadcast safe.
     return F.broadcast(cards.filter(F.col("item_id").between(1, 32767)))
@@ -201,15 +203,11 @@ def candidate_features(states: DataFrame, ft: FeatureTables, n: int | None = NEG
     in_row = {k: dense[k].mean(c) for k, c in partners.items() if not dense[k].empty} if dense else {}
 
     def look_up(item: Column, label: Column) -> Column:
-        own, opp = F.col("own_map")[item], F.col("opp_map")[item]
-        known = F.filter(F.transform("actors", lambda m: m[item]), lambda r: r.isNotNull())
-        fields = [
-            item.alias("item_id"), label.alias("label"),
-            own["games"].alias("team_games"), own["shrunk_wr"].alias("team_rate"),
-            opp["games"].alias("opp_games"), opp["shrunk_wr"].alias("opp_rate"),
-            F.aggregate(known, F.lit(0).cast("bigint"), lambda acc, r: acc + r).alias("known_ppm"),
-            F.size(known).alias("known_rates"),
-        ]
+        # One look into each map; an actor's known rate adds itself and one count in the high half.
+        known = F.aggregate("actors", F.lit(0).cast("bigint"),
+                            lambda acc, m: acc + F.coalesce(m[item] + COUNT_UNIT, F.lit(0).cast("bigint")))
+        fields = [item.alias("item_id"), label.alias("label"), F.col("own_map")[item].alias("own"),
+                  F.col("opp_map")[item].alias("opp"), known.alias("known")]
         fields += [mean(item).alias(k) for k, mean in in_row.items()]
         return F.struct(*fields)
 
@@ -220,11 +218,11 @@ def candidate_features(states: DataFrame, ft: FeatureTables, n: int | None = NEG
     if dense is None:
         keep += list(partners.values())
     cands = rows.select(*keep, F.inline(looked_up))
-    known = {k: not dense[k].empty for k in partners} if dense else dict.fromkeys(partners, True)
+    pairs_known = {k: not dense[k].empty for k in partners} if dense else dict.fromkeys(partners, True)
     if dense is None:
         for k, frame in _pair_frames(ft).items():
             cands = mean_partner_rate(cands, ["contest_id", "slot"], partners[k], frame, ft.item_global, k)
-    return _assemble(cands.join(item_cards(ft), "item_id", "left"), ft, known, threat)
+    return _assemble(cands.join(item_cards(ft), "item_id", "left"), ft, pairs_known, threat)
 
 
 def _assemble(c: DataFrame, ft: FeatureTables, known: dict[str, bool], threat: str) -> DataFrame:
@@ -236,14 +234,15 @@ def _assemble(c: DataFrame, ft: FeatureTables, known: dict[str, bool], threat: s
         return F.when(cond, 1.0).otherwise(0.0)
 
     is_str, is_agi, is_int = (flag((attr == k) | (attr == 4)) for k in (1, 2, 3))
-    comfort_sum = F.col("known_ppm") + (F.col("n_actors") - F.col("known_rates")) * millionths(own_rate)
+    known_n = F.floor(F.col("known") / COUNT_UNIT)
+    comfort_sum = F.col("known") - known_n * COUNT_UNIT + (F.col("n_actors") - known_n) * millionths(own_rate)
     comfort = F.when(F.col("n_actors") > 0, comfort_sum / F.col("n_actors") / MILLION).otherwise(0.5)
     if not ft.actors_known:
         comfort = own_rate
-    team_threat = F.when(F.col("opp_games") >= TEAM_THREAT_GAMES, F.col("opp_rate")).otherwise(0.0)
+    team_threat = F.when(F.col("opp.games") >= TEAM_THREAT_GAMES, F.col("opp.shrunk_wr")).otherwise(0.0)
     values = {
-        "team_picks": F.coalesce("team_games", "g_picks", F.lit(0)),
-        "team_wr_shrunk": F.coalesce("team_rate", "g_rate", F.lit(0.5)),
+        "team_picks": F.coalesce("own.games", "g_picks", F.lit(0)),
+        "team_wr_shrunk": F.coalesce("own.shrunk_wr", "g_rate", F.lit(0.5)),
         "mean_syn_with_allies": F.col("syn") if known["syn"] else own_rate,
         "mean_counter_vs_enemies": F.col("ctr") if known["ctr"] else own_rate,
         "hero_meta_primary_attr": attr,
@@ -252,7 +251,7 @@ def _assemble(c: DataFrame, ft: FeatureTables, known: dict[str, bool], threat: s
         "star_threat": team_threat if threat == "team" else F.col("roster_threat"),
         "hero_pick_rate": F.coalesce(F.col("item_pick_rate"), unseen_rate),
         "hero_wr": F.coalesce("item_wr", F.lit(0.5)),
-        "hero_popularity": F.round(F.coalesce("item_popularity", F.lit(0.0)), 6),
+        "hero_popularity": F.coalesce("item_popularity", F.lit(0.0)),
         "attr_is_str": is_str, "attr_is_agi": is_agi, "attr_is_int": is_int,
         "attr_fit_score": tp * F.greatest(is_int * FIT_INT, is_agi * FIT_AGI, is_str * FIT_STR),
         "draft_slot_norm": F.col("slot") / SLOT_SCALE,

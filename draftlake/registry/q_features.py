@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from draftlake.functions.scalars import millionths
 from draftlake.operators import pairs, profiles
 from draftlake.plans import decisions as dec
 from draftlake.plans import evaluation as ev
@@ -106,7 +107,7 @@ _MEANS_SQL = ", ".join(f"CAST(sum(CAST(round({f} * 1000000) AS BIGINT)) AS BIGIN
 
 
 def _millionths(c):
-    return F.sum(F.round(c * 1000000).cast("bigint"))
+    return F.sum(millionths(c))
 
 
 def _means():
@@ -134,7 +135,7 @@ _SCORE = "0.5::DOUBLE" + "".join(f" + {f} * {w}::DOUBLE" for f, w in scoring.WEI
 def linear_score(spark, d):
     return scoring.linear_score(feature_frame(spark, d)).groupBy("item_id").agg(
         F.count(F.lit(1)).alias("n"), _millionths(F.col("score")).alias("score_sum"),
-        F.round(F.max("score") * 1000000).cast("bigint").alias("best"))
+        millionths(F.max("score")).alias("best"))
 
 
 _PARTS = "[" + ", ".join(f"{{'f': '{f}', 'd': {f} * {w}::DOUBLE}}" for f, w in scoring.WEIGHTS.items()) + "]"

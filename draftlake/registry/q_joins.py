@@ -180,7 +180,7 @@ def left_fill(spark, d):
     filled = joins.left_fill(keyed, profiles.team_item_profile(t, None), ["team_id", "item_id"],
                              {"games": (F.col("own_picks"), 0), "shrunk_wr": (None, 0.5)})
     return filled.groupBy("item_id").agg(
-        F.sum("games").alias("games"), F.sum(F.round(F.col("shrunk_wr") * 1000000).cast("bigint")).alias("rate_sum"))
+        F.sum("games").alias("games"), F.sum(millionths("shrunk_wr")).alias("rate_sum"))
 
 
 _PARSED = "*, season_id % 2 = 0 AS is_parsed"
