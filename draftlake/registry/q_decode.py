@@ -49,7 +49,7 @@ def decode_players(spark, d):
 
 
 @query(sql("line_players", """SELECT contest_id, player_slot, CASE WHEN player_slot % 128 = 0 THEN
-    '[{"time":5,"key":"tango"}]' END AS purchase_log, '{"n":' || item_id || '}' AS killed, CAST(NULL AS VARCHAR) AS damage
+    '[{"time":5,"key":"potion"}]' END AS purchase_log, '{"n":' || item_id || '}' AS killed, CAST(NULL AS VARCHAR) AS damage
     FROM line_players WHERE lobby <> 3"""))
 def decode_player_details(spark, d):
     return decode.decode_player_details(docs(spark, d, "match_id", "players")).select(

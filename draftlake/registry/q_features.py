@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from draftlake.functions.scalars import millionths
 from draftlake.operators import pairs, profiles
+from draftlake.operators.filters import competitive
 from draftlake.plans import decisions as dec
 from draftlake.plans import evaluation as ev
 from draftlake.plans import features as feat
@@ -215,9 +216,8 @@ def _rounded(m):
         F.round(c, 9).alias(c) for c in ("recall1", "recall3", "recall5", "ndcg10")])
 
 
-def _replayed(t, scorer):
-    from draftlake.operators.filters import competitive
-    return _rounded(ev.replay(t.steps, ev.replay_contests(competitive(t.contests)), t.items, scorer))
+def _replayed(t, scorer, rescore=False):
+    return _rounded(ev.replay(t.steps, ev.replay_contests(competitive(t.contests)), t.items, scorer, rescore))
 
 
 _RANDOM = f"""SELECT *, {_RANK_KEY} AS score FROM (SELECT *, item_id AS i,
@@ -226,7 +226,7 @@ _RANDOM = f"""SELECT *, {_RANK_KEY} AS score FROM (SELECT *, item_id AS i,
 
 @query(_replay_sql(_RANDOM))
 def replay_random(spark, d):
-    return _replayed(seq_tables(spark, d), ev.random_score)
+    return _replayed(seq_tables(spark, d), ev.random_score, rescore=True)
 
 
 @query(_replay_sql("""SELECT p.*, coalesce(f.frequency, 0.0::DOUBLE) AS score FROM pool p LEFT JOIN (SELECT item_id,
@@ -234,7 +234,7 @@ def replay_random(spark, d):
     WHERE is_pick AND item_id > 0 GROUP BY 1) f USING (item_id)"""))
 def replay_frequency(spark, d):
     t = seq_tables(spark, d)
-    return _replayed(t, lambda c: ev.frequency_score(c, profiles.pick_frequency(t, None)))
+    return _replayed(t, lambda c: ev.frequency_score(c, profiles.pick_frequency(t, None)), rescore=True)
 
 
 @query(_replay_sql("""SELECT p.*, coalesce(c.comfort, 0.5::DOUBLE) AS score FROM pool p LEFT JOIN (

@@ -218,12 +218,13 @@ def joinable_picks(spark, d):
     return joins.joinable_count(t.steps, t.contests, joins.team_contests(t.contests))
 
 
-@query(sql("contests", """WITH s AS (SELECT contest_id, team0 AS team_id, 0 AS side FROM contests WHERE team0 <> 0
-      UNION ALL SELECT contest_id, team1, 1 FROM contests WHERE team1 <> 0)
-    SELECT * FROM s WHERE EXISTS (SELECT 1 FROM s o WHERE o.contest_id = s.contest_id AND o.team_id = 7)"""))
-def opponents_of_team(spark, d):
-    sides = joins.team_contests(star.contests(spark, d)).select("contest_id", "team_id", "side")
-    return profiles.opponents(sides, sides.filter("team_id = 7"))
+@query(sql("contests", """WITH s AS (SELECT contest_id, team0 AS team_id, 0 AS side, side0_won AS won FROM contests WHERE team0 <> 0
+      UNION ALL SELECT contest_id, team1, 1, NOT side0_won FROM contests WHERE team1 <> 0)
+    SELECT contest_id, team_id, side FROM s WHERE EXISTS (SELECT 1 FROM s o WHERE o.contest_id = s.contest_id AND o.won)"""))
+def opponents_of_winners(spark, d):
+    """Sides of all contests in which a known team won."""
+    sides = joins.team_contests(star.contests(spark, d)).select("contest_id", "team_id", "side", "won")
+    return profiles.opponents(sides, sides.filter("won")).drop("won")
 
 
 @query(sql("contests", """SELECT CAST(7 AS INTEGER) AS team_a, CAST(8 AS INTEGER) AS team_b, count(*) AS games,

@@ -191,7 +191,7 @@ def contest_documents(spark: SparkSession, sf_dir: str, faulty: bool = False) ->
             (p["item_id"] % 10).alias("kills"), (seat % 2).alias("firstblood_claimed"),
             curve(seat + 1, p["item_id"]).alias("gold_t"), curve(seat + 1, p["item_id"] * 7).alias("xp_t"),
             curve(seat + 2, p["item_id"] * 3000).alias("lh_t"), curve(seat + 3, F.lit(60)).alias("times"),
-            F.when((seat == 0) & played, F.array(F.struct(F.lit(5).alias("time"), F.lit("tango").alias("key")))).alias("purchase_log"),
+            F.when((seat == 0) & played, F.array(F.struct(F.lit(5).alias("time"), F.lit("potion").alias("key")))).alias("purchase_log"),
             F.struct(p["item_id"].alias("n")).alias("killed"))
 
     def step(s: Column) -> Column:

@@ -62,10 +62,12 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash by key into the session's number of shuffle partitions.
+    """Hash by key into the session's number of shuffle partitions, before adaptive merging.
 
     For narrow rows that multiply right afterwards: their small size must not let adaptive
     execution merge them into a few tasks. Windows and aggregations on the keys reuse the exchange.
     """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    conf = df.sparkSession.conf
+    n = int(conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+            or conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(n, *keys)
