@@ -106,3 +106,31 @@ def team_contests(contests: DataFrame) -> DataFrame:
             F.struct(F.col("team0").alias("team_id"), F.lit(0).alias("side"), F.col("side0_won").alias("won")),
             F.struct(F.col("team1").alias("team_id"), F.lit(1).alias("side"), (~F.col("side0_won")).alias("won")))))
     return rows.filter(F.col("team_id").isNotNull() & (F.col("team_id") != 0))
+
+
+# A key is hot when it holds more than one row in HOT_SHARE and more than HOT_ROWS rows; by the
+# first rule there are fewer than HOT_SHARE hot keys, which bounds their broadcast.
+HOT_SHARE, HOT_ROWS, SALTS = 1000, 2_000_000, 32
+
+
+def salted_lookup(df: DataFrame, lookup: DataFrame, key: str, spread_by: str, hot_rows: int = HOT_ROWS,
+                  row_limit: int | None = None) -> DataFrame:
+    """Left join to a frame with one row per ``key``, spreading the rows of hot keys.
+
+    Adaptive skew handling needs a plain shuffle on both sides, which an aggregated lookup is not.
+    Here hot keys are found by a count with a map-side combine; their rows get a salt from
+    ``spread_by`` and their lookup row is repeated once per salt. Other keys are joined as usual.
+    A caller who knows that ``df`` has at most ``row_limit`` rows saves the count where no key
+    can be hot.
+    """
+    if row_limit is not None and row_limit <= hot_rows:
+        return df.join(lookup, key, "left")
+    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.agg(F.sum("_n").alias("t")).scalar()
+    hot = F.broadcast(counts.filter((F.col("_n") > hot_rows) & (F.col("_n") * HOT_SHARE > total))
+                      .select(key, F.lit(True).alias("_hot")))
+    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(spread_by), F.lit(SALTS))).otherwise(0).cast("int")
+    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    left = df.join(hot, key, "left").withColumn("_salt", salt).drop("_hot")
+    right = lookup.join(hot, key, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
+    return left.join(right, [key, "_salt"], "left").drop("_salt")

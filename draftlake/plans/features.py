@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from draftlake.functions.scalars import MILLION, attr_code, millionths, role_count
 from draftlake.operators.filters import is_competitive
+from draftlake.operators.joins import salted_lookup
 from draftlake.operators.pairs import both_directions, mean_partner_rate
 from draftlake.plans.decisions import NEGATIVES, SPLIT_SEED, candidate_arrays
 
@@ -34,9 +35,10 @@ FEATURES = [
     "team_picks_before", "enemy_picks_before", "is_first_pick", "is_last_pick", "is_counter_phase",
     "remaining_team_picks", "draft_progress",
 ]
-# Share of each attribute in the fit score, longest slot, picks per side.
+# Share of each attribute in the fit score, longest slot, picks per side, players.
 FIT_INT, FIT_AGI, FIT_STR = 0.5, 0.3, 0.2
 SLOT_SCALE, SIDE_PICKS, TEAM_THREAT_GAMES = 30.0, 5, 3
+SEATS = 10
 
 DENSE_ITEM_LIMIT = 512
 COUNT_UNIT = 1 << 40  # rates are millionths, so their sum over a roster stays far below this
@@ -74,11 +76,12 @@ def actor_maps(actor_item: DataFrame) -> DataFrame:
         F.max("shrunk_wr").alias("best"))
 
 
-def roster_context(players: DataFrame, actor_item: DataFrame) -> DataFrame:
+def roster_context(players: DataFrame, actor_item: DataFrame, n_contests: int | None = None) -> DataFrame:
     """Per contest and side: the actors' rate maps, their number, and the mean of their best rates."""
     seats = (players.filter(is_competitive() & F.col("won").isNotNull() & F.col("account_id").isNotNull())
              .select("contest_id", "side", "account_id"))
-    rows = seats.join(actor_maps(actor_item), "account_id", "left")
+    rows = salted_lookup(seats, actor_maps(actor_item), "account_id", "contest_id",
+                         row_limit=None if n_contests is None else n_contests * SEATS)
 
     def of(side: int, c) -> Column:
         return F.when(F.col("side") == side, c)
@@ -97,9 +100,10 @@ def roster_context(players: DataFrame, actor_item: DataFrame) -> DataFrame:
 def contest_context(ft: FeatureTables, contests: DataFrame) -> DataFrame:
     """One row per contest with both teams' item maps and both rosters."""
     base = contests.select("contest_id", "team0", "team1")
-    return (base.join(team_maps(ft.team_item, "team0", "team_map0"), "team0", "left")
-            .join(team_maps(ft.team_item, "team1", "team_map1"), "team1", "left")
-            .join(roster_context(ft.players, ft.actor_item), "contest_id", "left")
+    n = base.count()  # answered by file footers; tells whether any key can be hot
+    first = salted_lookup(base, team_maps(ft.team_item, "team0", "team_map0"), "team0", "contest_id", row_limit=n)
+    second = salted_lookup(first, team_maps(ft.team_item, "team1", "team_map1"), "team1", "contest_id", row_limit=n)
+    return (second.join(roster_context(ft.players, ft.actor_item, n), "contest_id", "left")
             .drop("team0", "team1"))
 
 

@@ -120,3 +120,13 @@ def test_fold_equals_sequential_upserts(spark):
     for b in range(4):
         stored = upserts.upsert_contests(stored, changes.filter(F.col("batch_id") == b).drop("batch_id"))
     assert sorted(map(tuple, fold_contests(changes).collect()), key=str) == sorted(map(tuple, stored.collect()), key=str)
+
+
+def test_salted_lookup_equals_a_plain_join(spark):
+    rows = [(i, 7 if i % 3 else i % 11) for i in range(600)] + [(1000, None), (1001, 99)]
+    df = spark.createDataFrame(rows, "id bigint, k bigint")
+    lookup = spark.createDataFrame([(k, f"v{k}") for k in range(11)], "k bigint, v string")
+    plain = sorted(map(str, df.join(lookup, "k", "left").select("id", "k", "v").collect()))
+    for hot_rows in (1, 10 ** 6):
+        got = joins.salted_lookup(df, lookup, "k", "id", hot_rows).select("id", "k", "v").collect()
+        assert sorted(map(str, got)) == plain
