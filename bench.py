@@ -1,4 +1,7 @@
-"""Headline measurements: prints one JSON line. Each query runs warm, the median of the runs counts."""
+"""Headline measurements: prints one JSON line.
+
+BENCH_RUNS=1 times each query once; more runs add a warm-up and take the median of the rest.
+"""
 
 from __future__ import annotations
 
@@ -33,7 +36,7 @@ def run(spark, name: str, sf_dir: str) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "1"))
     names = sys.argv[1:] or HEADLINE
     spark = local_session(cpus, "bench", shuffle_partitions=int(cpus) * 2, memory="16g")
     times = {}
