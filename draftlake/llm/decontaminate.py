@@ -230,14 +230,17 @@ def hit_words() -> F.Column:
 
 def without_benchmark(transcripts: DataFrame, items: DataFrame, text_col: str = "transcript",
                       key_col: str = "ability_key", item_col: str = "description", window: int = WINDOW,
-                      coverage: float = 0.5, block_words: int = BLOCK_WORDS, most_blocks: int = 16) -> DataFrame:
+                      coverage: float = 0.5, block_words: int = BLOCK_WORDS, most_blocks: int = 16,
+                      length_col: str | None = None) -> DataFrame:
     """The transcripts, all columns, with every hit span cut out; those with more than ``coverage`` of their words hit go.
 
     A span reaches from the first byte of its first word to the last byte of its last word. Clean texts stay byte for
     byte, null and empty ones too; extra columns pass through. All blocks of items are held by a task at once, so more
     than ``most_blocks`` of them are refused: find the spans with benchmark_hits then, which holds one block at a time.
+    ``length_col``, if given, takes the number of characters of each text that was cut.
     """
     where = transcripts.columns.index(text_col)
+    length = transcripts.columns.index(length_col) if length_col else None
     schema = transcripts.schema
     blocks = list(automata(items, key_col, item_col, window, block_words))
     if len(blocks) > most_blocks:
@@ -247,6 +250,7 @@ def without_benchmark(transcripts: DataFrame, items: DataFrame, text_col: str =
     def clean(batches):
         for batch in batches:
             texts, keep = batch.column(where).to_pylist(), np.ones(batch.num_rows, bool)
+            lengths = batch.column(length).to_pylist() if length is not None else None
             changed = False
             for i, words, starts, ends, data in _words_of(batch, text_col):
                 hit = np.zeros(len(words), bool)
@@ -261,10 +265,14 @@ def without_benchmark(transcripts: DataFrame, items: DataFrame, text_col: str =
                         raw.append(data[at:a].tobytes())
                         at = b
                     texts[i] = b"".join([*raw, data[at:].tobytes()]).decode("utf-8", "replace")
+                    if lengths is not None:
+                        lengths[i] = len(texts[i])
                     changed = True
             if changed:
                 columns = list(batch.columns)
                 columns[where] = pa.array(texts, batch.schema.field(where).type)
+                if lengths is not None:
+                    columns[length] = pa.array(lengths, batch.schema.field(length).type)
                 batch = pa.RecordBatch.from_arrays(columns, schema=batch.schema).filter(pa.array(keep))
             yield batch
     return transcripts.mapInArrow(clean, schema)

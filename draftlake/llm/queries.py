@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from draftlake.llm import block_names, decontaminate, packing, pairwise_quality, token_files
+from draftlake.llm import block_names, decontaminate, packing, pairwise_quality, token_files, weighted_minhash
 
 QUERIES, ORACLES = {}, {}
 FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -86,6 +86,12 @@ def op7(spark, d):
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+@query("op9_weighted_minhash")
+def op9(spark, d):
+    rows = weighted_minhash.near_copies(transcripts(spark, d)).drop("row_key")
+    return rows.withColumnRenamed("contest_id", "doc_id")
+
+
 @query("op10_block_names", f"""
 WITH d AS (SELECT doc_id, {FOLDED} AS t FROM documents)
 SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
