@@ -40,11 +40,13 @@ def _blocks_of(size: int, id_type: pa.DataType):
 def _named(df: DataFrame, keys: list[str]) -> DataFrame:
     """Add _name: an integer that rows have in common exactly when they agree in all keys.
 
-    Every distinct key takes the smallest of its rows' numbers; the numbers of one table are all different.
+    A row's number is made of its row key and place. Keys that occur more than once take the smallest number of their
+    rows; only those few keys are joined back, both sides by plain exchanges, so a hot key can be split.
     """
-    names = (df.select(*keys, F.monotonically_increasing_id().alias("_number"))
-             .groupBy(*keys).agg(F.min("_number").alias("_name")))
-    return df.join(names, keys)
+    numbered = df.withColumn("_number", F.expr("cast(cast(_row as decimal(20,0)) * 2147483648 + _at as decimal(38,0))"))
+    repeated = numbered.groupBy(*keys).agg(F.min("_number").alias("_first"), F.count("*").alias("_times")).where("_times > 1")
+    return numbered.join(scratch_table(repeated.drop("_times"), "repeated-keys"), keys, "left") \
+        .withColumn("_name", F.coalesce("_first", "_number")).drop("_number", "_first")
 
 
 def block_identities(transcripts: DataFrame, id_col: str = "contest_id", text_col: str = "transcript",
@@ -70,7 +72,7 @@ def block_identities(transcripts: DataFrame, id_col: str = "contest_id", text_co
     while longest > 1:
         pairs = names.groupBy("_row", F.expr("_at div 2").cast("int").alias("_at")).agg(
             F.max(F.expr("if(_at % 2 = 0, _name, null)")).alias("_left"),
-            F.coalesce(F.max(F.expr("if(_at % 2 = 1, _name, null)")), F.lit(-1)).alias("_right"))
+            F.coalesce(F.max(F.expr("if(_at % 2 = 1, _name, null)")), F.lit(-1).cast("decimal(38,0)")).alias("_right"))
         names = scratch_table(_named(pairs, ["_left", "_right"]).select("_row", "_at", "_name"), "pair-names")
         longest = -(-longest // 2)
     whole = first.where("_n > 1").drop("_name").join(names.select("_row", "_name"), "_row")
