@@ -88,8 +88,11 @@ def exact_copies(transcripts: DataFrame, id_col: str = "contest_id", text_col: s
     number of the row). A null id is below every other. An empty table gives no rows; other columns are not read.
     """
     rows = block_identities(transcripts, id_col, text_col, block_bytes, row_col)
-    groups = rows.groupBy("_n", "_name").agg(F.max(F.struct("_id", "_row")).alias("_keep"), F.count("*").alias("group_size"))
-    return rows.join(groups, ["_n", "_name"]).select(
-        F.col("_id").alias(id_col), F.col("_keep._id").alias("keep_id"), "group_size",
+    groups = rows.groupBy("_n", "_name").agg(F.max(F.struct("_id", "_row")).alias("_keep"), F.count("*").alias("group_size")) \
+        .where("group_size > 1")
+    joined = rows.join(scratch_table(groups, "copy-groups"), ["_n", "_name"], "left") \
+        .withColumn("_keep", F.coalesce("_keep", F.struct("_id", "_row")))
+    return joined.select(
+        F.col("_id").alias(id_col), F.col("_keep._id").alias("keep_id"), F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
         (F.col("_row") == F.col("_keep._row")).alias("kept"), F.col("_sha").alias("text_sha256"),
         F.col("_row").alias("row_key"))

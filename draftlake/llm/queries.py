@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from draftlake.llm import block_names, decontaminate, packing, pairwise_quality, token_files, weighted_minhash
+from draftlake.llm import block_names, decontaminate, longest_previous, packing, pairwise_quality, sentence_spans, token_files, weighted_minhash
 
 QUERIES, ORACLES = {}, {}
 FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -69,6 +69,11 @@ def op5(spark, d):
     return packing.pack_transcripts(transcripts(spark, d), tokenizer_file(), end_id=0).withColumnRenamed("contest_id", "doc_id")
 
 
+@query("op6_longest_previous")
+def op6(spark, d):
+    return longest_previous.remove_copies(transcripts(spark, d)).drop("kept").withColumnRenamed("contest_id", "doc_id")
+
+
 def held_out(doc_id: str = "doc_id") -> F.Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1
 
@@ -86,6 +91,11 @@ def op7(spark, d):
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+@query("op8_sentence_spans")
+def op8(spark, d):
+    return sentence_spans.remove_repeats(transcripts(spark, d)).drop("kept").withColumnRenamed("contest_id", "doc_id")
+
+
 @query("op9_weighted_minhash")
 def op9(spark, d):
     rows = weighted_minhash.near_copies(transcripts(spark, d)).drop("row_key")
