@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from draftlake.llm import block_names, decontaminate, longest_previous, packing, pairwise_quality, sentence_spans, token_files, weighted_minhash
+from draftlake.llm import block_names, decontaminate, html_runs, longest_previous, packing, pairwise_quality, pseudo_likelihood, sentence_spans, token_files, weighted_minhash
 
 QUERIES, ORACLES = {}, {}
 FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -36,6 +36,11 @@ def items_digest() -> F.Column:
     return F.sha2(F.array_join(F.array_sort("items"), ","), 256)
 
 
+@query("op1_html_runs")
+def op1(spark, d):
+    return html_runs.extract_main_text(spark.read.parquet(f"{d}/pages.parquet"))
+
+
 @query("op2_token_files")
 def op2(spark, d):
     path = token_files.write_token_files(transcripts(spark, d), tokenizer_file(), end_id=2)
@@ -64,6 +69,11 @@ def op3(spark, d):
                        (F.size("spans") > 0).alias("contaminated"))
 
 
+@query("op4_pseudo_likelihood")
+def op4(spark, d):
+    return pseudo_likelihood.pseudo_likelihood(transcripts(spark, d)).withColumnRenamed("contest_id", "doc_id")
+
+
 @query("op5_pack")
 def op5(spark, d):
     return packing.pack_transcripts(transcripts(spark, d), tokenizer_file(), end_id=0).withColumnRenamed("contest_id", "doc_id")
