@@ -6,7 +6,7 @@ import re
 
 import numpy as np
 
-MEMORY = 1_000_000
+MEMORY = 800_000
 _WHITE = re.compile(r"[ \t\n\r]+")
 _ODD = re.compile("[\x1c-\x1f]")
 # Fixed value: the split pattern of the tokenizer file, for counting the words inside a piece.
@@ -37,6 +37,26 @@ class _Runs:
         return self.ids[np.repeat(begin - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)], size
 
 
+class _Numbers(dict):
+    """Numbers for keys in order of first sight; ``fresh`` lists those seen since it was last emptied."""
+
+    def __init__(self, *known):
+        super().__init__(zip(known, range(len(known))))
+        self.fresh: list[str] = []
+
+    def __missing__(self, key):
+        number = self[key] = len(self)
+        self.fresh.append(key)
+        return number
+
+    def of(self, keys: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, keys), np.int64, len(keys))
+
+    def news(self) -> list[str]:
+        fresh, self.fresh = self.fresh, []
+        return fresh
+
+
 class PieceEncoder:
     """Encodes texts exactly as the tokenizers library does with add_special_tokens=False.
 
@@ -57,9 +77,9 @@ class PieceEncoder:
         self._clear()
 
     def _clear(self):
-        self.number: dict[str, int] = {}
+        self.number = _Numbers()
         self.pieces = _Runs()
-        self.word_number = {" ": 0}
+        self.word_number = _Numbers(" ")
         self.word_ids = _Runs()
         self.word_ids.add(np.zeros(0, np.uint32), np.zeros(1, np.int64))
 
@@ -77,7 +97,6 @@ class PieceEncoder:
             else:
                 lists = [self._plain(w) for w in group]
                 self.word_ids.add(np.array([i for x in lists for i in x], np.uint32), np.array([len(x) for x in lists]))
-        self.word_number.update(zip(fresh, range(len(self.word_number), len(self.word_number) + len(fresh))))
 
     def _learn(self, fresh: list[str]) -> None:
         even = self.tokenizer.normalizer.normalize_str(" ".join(fresh))
@@ -86,42 +105,47 @@ class PieceEncoder:
             self.pieces.add(np.array([i for x in lists for i in x], np.uint32), np.array([len(x) for x in lists]))
         else:
             words = self.words(even)
-            numbers = list(map(self.word_number.get, words))
-            if None in numbers:
-                self._learn_words([w for w in dict.fromkeys(words) if w not in self.word_number])
-                numbers = list(map(self.word_number.get, words))
-            numbers = np.array(numbers)
+            numbers = self.word_number.of(words)
+            self._learn_words(self.word_number.news())
             ids, size = self.word_ids.take(numbers)
             piece = np.cumsum(numbers == 0)
             self.pieces.add(ids, np.bincount(piece, size, len(fresh)).astype(np.int64))
-        self.number.update(zip(fresh, range(len(self.number), len(self.number) + len(fresh))))
 
     def encode(self, text: str) -> np.ndarray:
         return self.encode_many([text])[0]
 
     def encode_many(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text; unknown pieces of all texts are learned together, a bounded number at a time."""
-        pieces = [[p for p in _WHITE.split(t) if p] if _ODD.search(t) else t.split() for t in texts]
+        pieces = [[p for p in _WHITE.split(t) if p] if _ODD.search(t) else (t.lower() if _plain(t) else t).split() for t in texts]
         sizes = np.cumsum([0] + [len(p) for p in pieces])
         flat = [p for ps in pieces for p in ps]
         parts, counts = [], np.zeros(len(flat) + 1, np.int64)
         for at in range(0, len(flat), MEMORY // 4):
             part = flat[at:at + MEMORY // 4]
-            numbers = list(map(self.number.get, part))
-            if None in numbers:
-                fresh = [p for p in dict.fromkeys(part) if p not in self.number]
-                if len(self.number) + len(fresh) > MEMORY or len(self.word_number) > MEMORY:
-                    self._clear()
-                    fresh = list(dict.fromkeys(part))
+            if len(self.number) > MEMORY or len(self.word_number) > MEMORY:
+                self._clear()
+            numbers = self.number.of(part)
+            fresh = self.number.news()
+            if fresh:
                 self._learn(fresh)
-                numbers = list(map(self.number.get, part))
-            taken, size = self.pieces.take(np.array(numbers))
+            taken, size = self.pieces.take(numbers)
             parts.append(taken)
             counts[at + 1:at + 1 + len(part)] = size
         ids = np.concatenate(parts) if parts else np.zeros(0, np.uint32)
         return np.split(ids, np.cumsum(counts)[sizes[1:-1]]) if texts else []
 
 
+def _plain(text: str) -> bool:
+    """Latin-1 without special tokens: lower-casing it first changes no id, as nothing composes and case is one to one."""
+    if "<|" in text:
+        return False
+    try:
+        text.encode("latin-1")
+        return True
+    except UnicodeEncodeError:
+        return False
+
+
 def encoder(path: str) -> PieceEncoder:
     """The process's encoder for a tokenizer file."""
     if path not in _loaded:
