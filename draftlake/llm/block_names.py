@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from draftlake.llm.texts import one_row, scratch_table
+from draftlake.llm.texts import one_row, pinned, scratch_table
 
 BLOCK_BYTES = 4096
 
@@ -59,6 +59,8 @@ def block_identities(transcripts: DataFrame, id_col: str = "contest_id", text_co
     """
     kind = transcripts.schema[id_col].dataType
     row = F.col(row_col) if row_col else F.monotonically_increasing_id()
+    if not row_col:
+        transcripts = pinned(transcripts.select(id_col, text_col))
     source = transcripts.select(row.cast("long").alias("_row"), F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     arrow_type = pa.string() if kind.typeName() == "string" else pa.int32() if kind.typeName() == "integer" else pa.int64()
     blocks = source.mapInArrow(_blocks_of(block_bytes, arrow_type),

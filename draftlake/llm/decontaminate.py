@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from draftlake.llm.texts import byte_chunks, one_row, word_hashes
+from draftlake.llm.texts import byte_chunks, one_row, pinned, word_hashes
 
 WINDOW = 10
 BLOCK_WORDS = 200_000
@@ -186,9 +186,9 @@ def benchmark_hits(transcripts: DataFrame, items: DataFrame, id_col: str = "cont
     count as what they are. The transcripts are read once per block of items, and never shuffled for a single block.
     """
     kind = transcripts.schema[id_col].dataType.simpleString()
-    source = transcripts.select(F.col(id_col).alias("_id"), F.monotonically_increasing_id().alias("_row"),
-                                F.col(text_col).alias("_text"))
     passes = []
+    source = pinned(transcripts.select(id_col, text_col)).select(
+        F.col(id_col).alias("_id"), F.monotonically_increasing_id().alias("_row"), F.col(text_col).alias("_text"))
     for automaton in automata(items, key_col, item_col, window, block_words):
         shared = transcripts.sparkSession.sparkContext.broadcast(automaton)
 

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from draftlake.llm.texts import byte_chunks, powers, prefix_sums, scratch_table, span_hashes, word_table
+from draftlake.llm.texts import byte_chunks, pinned, powers, prefix_sums, scratch_table, span_hashes, word_table
 
 SENTENCES, SPAN_WORDS = 2, 12
 LOWEST = -(1 << 63)
@@ -69,6 +69,7 @@ def remove_repeats(transcripts: DataFrame, id_col: str = "contest_id", text_col:
     covered by any other go, with what follows them up to the next sentence. Null text counts as empty; a text without
     a repeated run stays byte for byte. Ids are whole numbers; other columns are not read.
     """
+    transcripts = pinned(transcripts.select(id_col, text_col))
     source = transcripts.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LOWEST)).alias("_id"), F.col(id_col).alias("_own"),
                                 F.monotonically_increasing_id().alias("_row"), F.col(text_col).alias("_text"))
 

@@ -41,6 +41,21 @@ def scratch_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def pinned(df: DataFrame) -> DataFrame:
+    """The same rows, in an order that every scan repeats, so that row numbers can be joined on.
+
+    A plain scan of files has that; anything else (a shuffle's rows may come in any order) is written and read back.
+    """
+    nodes = [df._jdf.queryExecution().optimizedPlan()]
+    while nodes:
+        node = nodes.pop()
+        if node.nodeName() not in ("Project", "LogicalRelation"):
+            return scratch_table(df, "rows")
+        children = node.children()
+        nodes += [children.apply(i) for i in range(children.size())]
+    return df
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir; a local session that names none gets its own."""
     named = spark.conf.get("spark.checkpoint.dir", None)
