@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from draftlake.llm import block_names, decontaminate, packing, pairwise_quality, weighted_minhash
 from draftlake.llm.queries import quality_labels, tokenizer_file
-from draftlake.llm.texts import shared_folder
+from draftlake.llm.texts import pinned, shared_folder
 
 ORACLE_SQL = None
 ROW = "_stage_row"
@@ -35,13 +35,13 @@ def _without(docs: DataFrame, judged: DataFrame) -> DataFrame:
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the largest doc_id."""
-    numbered = docs.withColumn(ROW, F.monotonically_increasing_id())
+    numbered = pinned(docs).withColumn(ROW, F.monotonically_increasing_id())
     return _without(numbered, block_names.exact_copies(numbered, id_col="doc_id", text_col="text", row_col=ROW)).select(docs.columns)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
-    numbered = docs.withColumn(ROW, F.monotonically_increasing_id())
+    numbered = pinned(docs).withColumn(ROW, F.monotonically_increasing_id())
     return _without(numbered, weighted_minhash.near_copies(numbered, id_col="doc_id", text_col="text", row_col=ROW)).select(docs.columns)
 
 
