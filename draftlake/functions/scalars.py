@@ -157,11 +157,12 @@ def poly_flag(v) -> Column:
 
 
 def flex_epoch(v) -> Column:
-    """Epoch seconds from a number, a numeric text, RFC 3339, a plain date, or a list of those."""
+    """Epoch seconds from a number, a numeric text, RFC 3339, a plain date, or a list that starts with a number."""
     v = as_col(v)
     kind = _kind(v)
-    head = F.when(kind.startswith("ARRAY"), F.try_variant_get(v, "$[0]", "double").cast("bigint"))
-    number = F.when(~kind.startswith("ARRAY") & (kind != "STRING"), F.try_variant_get(v, "$", "double").cast("bigint"))
+    first = _kind(F.try_variant_get(v, "$[0]", "variant"))
+    head = F.when(kind.startswith("ARRAY") & ~first.isin("STRING", "BOOLEAN"), F.try_variant_get(v, "$[0]", "double").cast("bigint"))
+    number = F.when(~kind.startswith("ARRAY") & ~kind.isin("STRING", "BOOLEAN"), F.try_variant_get(v, "$", "double").cast("bigint"))
     text = F.when(kind == "STRING", F.try_variant_get(v, "$", "string"))
     # Zoned text carries its own offset, so the session zone never enters.
     rfc = F.when(

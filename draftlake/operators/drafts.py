@@ -123,11 +123,11 @@ def format_canary(steps: DataFrame, contests: DataFrame) -> DataFrame:
 
 # --- empirical template -------------------------------------------------------------------
 
-def newest_season_sample(contests: DataFrame, n: int = 5000) -> DataFrame:
-    """The sampling operator: lowest ``n`` contest ids of the newest season."""
+def newest_season_sample(contests: DataFrame, n: int | None = None) -> DataFrame:
+    """Contests of the newest season: all, or the lowest ``n`` ids where a sample is asked for."""
     newest = contests.agg(F.max("season_id").alias("m"))
-    return (contests.filter(F.col("season_id") == newest.scalar())
-            .select("contest_id").orderBy("contest_id").limit(n))
+    found = contests.filter(F.col("season_id") == newest.scalar()).select("contest_id")
+    return found if n is None else found.orderBy("contest_id").limit(n)
 
 
 def slot_template(steps: DataFrame, sample: DataFrame) -> DataFrame:

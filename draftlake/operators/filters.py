@@ -51,12 +51,12 @@ def within_months(df: DataFrame, time_col: str, as_of: str | None, months: int =
     return out
 
 
-def recent_contests(contests: DataFrame, as_of: str, days: int = 180, limit: int = 10_000) -> DataFrame:
-    """Newest discovery candidates, at most ``limit`` (a top-n report)."""
+def recent_contests(contests: DataFrame, as_of: str, days: int = 180, limit: int | None = None) -> DataFrame:
+    """Discovery candidates of the last ``days``; with ``limit`` the newest of them, in order."""
     edge = F.unix_date(F.date_sub(F.lit(as_of).cast("date"), days)).cast("bigint") * 86400
-    return (contests.filter((F.col("start_time") >= edge) & F.col("lobby").isin(*DISCOVERY_LOBBIES))
-            .select("contest_id", "start_time")
-            .orderBy(F.desc("start_time"), F.desc("contest_id")).limit(limit))
+    found = (contests.filter((F.col("start_time") >= edge) & F.col("lobby").isin(*DISCOVERY_LOBBIES))
+             .select("contest_id", "start_time"))
+    return found if limit is None else found.orderBy(F.desc("start_time"), F.desc("contest_id")).limit(limit)
 
 
 def in_season(df: DataFrame, season: int | None) -> DataFrame:
@@ -86,7 +86,7 @@ def valid_player_slot(slot) -> Column:
 
 
 def rejection_reason() -> Column:
-    """Why a decoded document is unusable, or null. Expects the nested document columns."""
+    """Why a decoded document is unusable, or null. Expects the nested document columns; an absent number is 0."""
     def some(array: str, test) -> Column:
         return F.coalesce(F.exists(F.col(array), test), F.lit(False))
 
@@ -94,10 +94,10 @@ def rejection_reason() -> Column:
         F.when(F.coalesce(F.col("match_id"), F.lit(0)) <= 0, "invalid_contest_id")
         .when(F.coalesce(F.col("start_time"), F.lit(0)) <= 0, "start_time_missing")
         .when(F.col("duration") < 0, "negative_duration")
-        .when(some("players", lambda p: ~F.coalesce(valid_player_slot(p["player_slot"]), F.lit(False))),
+        .when(some("players", lambda p: ~valid_player_slot(F.coalesce(p["player_slot"], F.lit(0)))),
               "invalid_player_slot")
         .when(some("players", lambda p: F.coalesce(p["hero_id"] < 0, F.lit(False))), "invalid_item_id")
-        .when(some("picks_bans", lambda b: ~F.coalesce(b["team"].isin(0, 1), F.lit(False))), "invalid_pick_side")
+        .when(some("picks_bans", lambda b: ~F.coalesce(b["team"], F.lit(0)).isin(0, 1)), "invalid_pick_side")
     )
 
 

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from draftlake.operators.windows import season_ranges
 
-_YEAR = 365 * 86400
 
 
 def left_fill(df: DataFrame, other: DataFrame, on: list[str], fills: dict[str, tuple[Column | None, object]]) -> DataFrame:
@@ -40,32 +39,18 @@ def missing_keys(facts: DataFrame, fact_key: str, dim: DataFrame, dim_key: str)
     return keys.join(dim.select(F.col(dim_key).alias("key")), "key", "left_anti")
 
 
-def _season_buckets(seasons: DataFrame) -> DataFrame:
-    """Season intervals spread over the year-long buckets they touch, for an equi-join.
-
-    The newest season is open-ended; its bucket is the last one, to which later times are clamped.
-    """
-    r = season_ranges(seasons)
-    last = r.agg(F.max("start_at").alias("m")).scalar()
-    first_bucket = F.floor(F.col("start_at") / _YEAR)
-    last_bucket = F.floor(F.least(F.col("end_at"), last) / _YEAR)
-    return r.select("season_id", "start_at", "end_at",
-                    F.explode(F.sequence(first_bucket, F.greatest(first_bucket, last_bucket))).alias("_bucket"))
-
-
 def season_at(df: DataFrame, time_col: str, seasons: DataFrame, how: str = "left") -> DataFrame:
-    """Latest season released at or before each row's time (as-of join).
+    """Latest season released at or before each row's time (as-of join); the newest season is open-ended.
 
-    Times and season intervals meet on a bucket number, so this is an equi-join with a range
-    residue, never a nested loop over all pairs.
+    Seasons are a small dimension: their releases travel as one sorted array, so the facts are neither shuffled nor
+    joined. Of seasons released at the same time the largest id counts.
     """
-    b = _season_buckets(seasons)
-    last_bucket = F.floor(seasons.agg(F.max("release_at").alias("m")).scalar() / _YEAR)
-    left = df.withColumn("_bucket", F.least(F.floor(F.col(time_col) / _YEAR), last_bucket))
-    s = b.select(F.col("season_id").alias("season_at_id"), F.col("start_at").alias("_from"),
-                 F.col("end_at").alias("_to"), "_bucket")
-    cond = ((left["_bucket"] == s["_bucket"]) & (F.col(time_col) >= F.col("_from")) & (F.col(time_col) <= F.col("_to")))
-    return left.join(s, cond, how).drop("_bucket", "_from", "_to")
+    releases = seasons.filter("release_at is not null").agg(
+        F.sort_array(F.collect_list(F.struct("release_at", "season_id"))).alias("v")).scalar()
+    known = F.filter("_releases", lambda s: s["release_at"] <= F.col(time_col))
+    out = df.withColumn("_releases", releases).withColumn("season_at_id", F.try_element_at(known, F.lit(-1))["season_id"]) \
+        .drop("_releases")
+    return out if how == "left" else out.filter(F.col("season_at_id").isNotNull())
 
 
 def contests_of_season(contests: DataFrame, seasons: DataFrame, season: int) -> DataFrame:
@@ -113,18 +98,13 @@ def team_contests(contests: DataFrame) -> DataFrame:
 HOT_SHARE, HOT_ROWS, SALTS = 1000, 2_000_000, 32
 
 
-def salted_lookup(df: DataFrame, lookup: DataFrame, key: str, spread_by: str, hot_rows: int = HOT_ROWS,
-                  row_limit: int | None = None) -> DataFrame:
+def salted_lookup(df: DataFrame, lookup: DataFrame, key: str, spread_by: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Left join to a frame with one row per ``key``, spreading the rows of hot keys.
 
     Adaptive skew handling needs a plain shuffle on both sides, which an aggregated lookup is not.
     Here hot keys are found by a count with a map-side combine; their rows get a salt from
     ``spread_by`` and their lookup row is repeated once per salt. Other keys are joined as usual.
-    A caller who knows that ``df`` has at most ``row_limit`` rows saves the count where no key
-    can be hot.
     """
-    if row_limit is not None and row_limit <= hot_rows:
-        return df.join(lookup, key, "left")
     counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     total = counts.agg(F.sum("_n").alias("t")).scalar()
     hot = F.broadcast(counts.filter((F.col("_n") > hot_rows) & (F.col("_n") * HOT_SHARE > total))

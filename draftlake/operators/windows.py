@@ -11,6 +11,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
+OPEN_END = (1 << 63) - 1  # the newest season has no end
+
+
 def _by_slot():
     return W.partitionBy("contest_id").orderBy("slot")
 
@@ -28,7 +31,7 @@ def season_ranges(seasons: DataFrame) -> DataFrame:
     nxt = F.lead("release_at").over(W.orderBy("release_at"))
     return seasons.select(
         "season_id", F.col("release_at").alias("start_at"),
-        F.coalesce(nxt - 1, F.lit(2147483647).cast("bigint")).alias("end_at"))
+        F.coalesce(nxt - 1, F.lit(OPEN_END)).alias("end_at"))
 
 
 def assign_phases(steps: DataFrame) -> DataFrame:

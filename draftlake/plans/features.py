@@ -4,17 +4,15 @@ Candidates multiply the decisions about thirty-fold, so nothing is joined or shu
 width. Everything that depends on a team or a roster is brought to the *contest* row first (a
 team's profile is a map over the item catalogue, a roster is a short list of such maps), the
 contest row meets its decisions on the contest id, and the lookups for all candidates of a
-decision happen inside the row. Only then are the candidates unfolded; what remains is a join to
-the item cards (one row per two-byte item id) and arithmetic in generated code.
+decision happen inside the row. Only then are the candidates unfolded; what remains are equi-joins to
+the pair rates and the item cards and arithmetic in generated code. The plan is the same for every catalogue.
 
 Rates are averaged as whole millionths, so a mean does not depend on the order rows arrived in.
 """
 
 from __future__ import annotations
 
-import json
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,9 +36,7 @@ FEATURES = [
 # Share of each attribute in the fit score, longest slot, picks per side, players.
 FIT_INT, FIT_AGI, FIT_STR = 0.5, 0.3, 0.2
 SLOT_SCALE, SIDE_PICKS, TEAM_THREAT_GAMES = 30.0, 5, 3
-SEATS = 10
 
-DENSE_ITEM_LIMIT = 512
 COUNT_UNIT = 1 << 40  # rates are millionths, so their sum over a roster stays far below this
 
 
@@ -76,12 +72,11 @@ def actor_maps(actor_item: DataFrame) -> DataFrame:
         F.max("shrunk_wr").alias("best"))
 
 
-def roster_context(players: DataFrame, actor_item: DataFrame, n_contests: int | None = None) -> DataFrame:
+def roster_context(players: DataFrame, actor_item: DataFrame) -> DataFrame:
     """Per contest and side: the actors' rate maps, their number, and the mean of their best rates."""
     seats = (players.filter(is_competitive() & F.col("won").isNotNull() & F.col("account_id").isNotNull())
              .select("contest_id", "side", "account_id"))
-    rows = salted_lookup(seats, actor_maps(actor_item), "account_id", "contest_id",
-                         row_limit=None if n_contests is None else n_contests * SEATS)
+    rows = salted_lookup(seats, actor_maps(actor_item), "account_id", "contest_id")
 
     def of(side: int, c) -> Column:
         return F.when(F.col("side") == side, c)
@@ -100,10 +95,9 @@ def roster_context(players: DataFrame, actor_item: DataFrame, n_contests: int |
 def contest_context(ft: FeatureTables, contests: DataFrame) -> DataFrame:
     """One row per contest with both teams' item maps and both rosters."""
     base = contests.select("contest_id", "team0", "team1")
-    n = base.count()  # answered by file footers; tells whether any key can be hot
-    first = salted_lookup(base, team_maps(ft.team_item, "team0", "team_map0"), "team0", "contest_id", row_limit=n)
-    second = salted_lookup(first, team_maps(ft.team_item, "team1", "team_map1"), "team1", "contest_id", row_limit=n)
-    return (second.join(roster_context(ft.players, ft.actor_item, n), "contest_id", "left")
+    first = salted_lookup(base, team_maps(ft.team_item, "team0", "team_map0"), "team0", "contest_id")
+    second = salted_lookup(first, team_maps(ft.team_item, "team1", "team_map1"), "team1", "contest_id")
+    return (second.join(roster_context(ft.players, ft.actor_item), "contest_id", "left")
             .drop("team0", "team1"))
 
 
@@ -117,56 +111,6 @@ def _pair_frames(ft: FeatureTables) -> dict[str, DataFrame]:
     }
 
 
-class PairLookup:
-    """Mean rate of a candidate with its partners, read from a dense table inside the row.
-
-    The table holds whole millionths and is a constant of the plan: at most ``DENSE_ITEM_LIMIT`` squared numbers, which the
-    caller has checked. ``empty`` tells that no pair is known at all.
-    """
-
-    def __init__(self, grid: list[list[int]], empty: bool):
-        self.empty = empty
-        self._literal = json.dumps(grid)
-
-    def mean(self, partners: str):
-        grid = F.from_json(F.lit(self._literal), "array<array<bigint>>")
-        count = F.size(partners)
-
-        def of(item: Column) -> Column:
-            total = F.aggregate(partners, F.lit(0).cast("bigint"), lambda acc, p: acc + grid[item][p])
-            return F.when(count > 0, total / count / MILLION).otherwise(0.5)
-        return of
-
-
-def dense_pairs(ft: FeatureTables) -> dict[str, PairLookup] | None:
-    """Lookups for both pair profiles, or None when the catalogue is too large for a dense table.
-
-    The pairs of ids under the limit, the items' own rates and the largest id arrive in one job;
-    its size is bounded by the limit, not by the data.
-    """
-    small = (F.col("item_id") < DENSE_ITEM_LIMIT) & (F.col("partner_id") < DENSE_ITEM_LIMIT)
-    nothing = F.lit(0).alias("partner_id")
-    parts = [f.filter(small).select(F.lit(k).alias("kind"), "item_id", "partner_id", millionths("rate").alias("ppm"))
-             for k, f in _pair_frames(ft).items()]
-    parts.append(ft.item_global.filter(F.col("item_id") < DENSE_ITEM_LIMIT).select(
-        F.lit("own").alias("kind"), "item_id", nothing, millionths("shrunk_wr").alias("ppm")))
-    parts.append(ft.items.agg(F.max("item_id").alias("item_id")).select(
-        F.lit("max").alias("kind"), "item_id", nothing, F.lit(0).cast("bigint").alias("ppm")))
-    rows = reduce(DataFrame.unionByName, parts).collect()
-    size = 1 + max((r["item_id"] or 0 for r in rows), default=0)
-    if size > DENSE_ITEM_LIMIT:
-        return None
-    own = {r["item_id"]: r["ppm"] for r in rows if r["kind"] == "own"}
-    out = {}
-    for kind in ("syn", "ctr"):
-        grid = [[own.get(i, MILLION // 2) for i in range(size)] for _ in range(size)]
-        known = [r for r in rows if r["kind"] == kind]
-        for r in known:
-            grid[r["item_id"]][r["partner_id"]] = r["ppm"]
-        out[kind] = PairLookup(grid, not known)
-    return out
-
-
 # --- item cards ---------------------------------------------------------------------------
 
 def item_cards(ft: FeatureTables) -> DataFrame:
@@ -194,7 +138,6 @@ def candidate_features(states: DataFrame, ft: FeatureTables, n: int | None = NEG
     ``n=None`` gives the whole legal pool. ``threat`` selects the opponent-threat feature: of the
     opposing team on this item (``team``) or of the opposing roster's best items (``roster``).
     """
-    dense = dense_pairs(ft)
     decided = candidate_arrays(states, ft.items, n, seed)
     rows = decided.join(contest_context(ft, ft.contests), "contest_id", "left").select(
         "contest_id", "season_id", "slot", "is_pick", "side", "acting_team", "opp_team", "acting_won",
@@ -204,7 +147,6 @@ def candidate_features(states: DataFrame, ft: FeatureTables, n: int | None = NEG
         F.coalesce(_of_side(False, "threat"), F.lit(0.5)).alias("roster_threat"))
 
     partners = {"syn": "allies", "ctr": "enemies"}
-    in_row = {k: dense[k].mean(c) for k, c in partners.items() if not dense[k].empty} if dense else {}
 
     def look_up(item: Column, label: Column) -> Column:
         # One look into each map; an actor's known rate adds itself and one count in the high half.
@@ -212,24 +154,19 @@ def candidate_features(states: DataFrame, ft: FeatureTables, n: int | None = NEG
                             lambda acc, m: acc + F.coalesce(m[item] + COUNT_UNIT, F.lit(0).cast("bigint")))
         fields = [item.alias("item_id"), label.alias("label"), F.col("own_map")[item].alias("own"),
                   F.col("opp_map")[item].alias("opp"), known.alias("known")]
-        fields += [mean(item).alias(k) for k, mean in in_row.items()]
         return F.struct(*fields)
 
     pool = F.concat(F.array("item_id"), F.col("others"))
     looked_up = F.transform(pool, lambda i, at: look_up(i, F.when(at == 0, 1.0).otherwise(0.0)))
     keep = ["contest_id", "season_id", "slot", "is_pick", "side", "acting_team", "opp_team", "acting_won",
             "team_picks_before", "enemy_picks_before", "n_actors", "roster_threat"]
-    if dense is None:
-        keep += list(partners.values())
-    cands = rows.select(*keep, F.inline(looked_up))
-    pairs_known = {k: not dense[k].empty for k in partners} if dense else dict.fromkeys(partners, True)
-    if dense is None:
-        for k, frame in _pair_frames(ft).items():
-            cands = mean_partner_rate(cands, ["contest_id", "slot"], partners[k], frame, ft.item_global, k)
-    return _assemble(cands.join(item_cards(ft), "item_id", "left"), ft, pairs_known, threat)
+    cands = rows.select(*keep, *partners.values(), F.inline(looked_up))
+    for k, frame in _pair_frames(ft).items():
+        cands = mean_partner_rate(cands, ["contest_id", "slot"], partners[k], frame, ft.item_global, k)
+    return _assemble(cands.join(item_cards(ft), "item_id", "left"), ft, threat)
 
 
-def _assemble(c: DataFrame, ft: FeatureTables, known: dict[str, bool], threat: str) -> DataFrame:
+def _assemble(c: DataFrame, ft: FeatureTables, threat: str) -> DataFrame:
     own_rate = F.coalesce("g_rate", F.lit(0.5))
     unseen_rate = F.lit(2.0) / (ft.total_picks.scalar() + 4.0)
     attr, tp, ep = F.coalesce("attr", F.lit(0)), F.col("team_picks_before"), F.col("enemy_picks_before")
@@ -247,8 +184,8 @@ def _assemble(c: DataFrame, ft: FeatureTables, known: dict[str, bool], threat: s
     values = {
         "team_picks": F.coalesce("own.games", "g_picks", F.lit(0)),
         "team_wr_shrunk": F.coalesce("own.shrunk_wr", "g_rate", F.lit(0.5)),
-        "mean_syn_with_allies": F.col("syn") if known["syn"] else own_rate,
-        "mean_counter_vs_enemies": F.col("ctr") if known["ctr"] else own_rate,
+        "mean_syn_with_allies": F.col("syn"),
+        "mean_counter_vs_enemies": F.col("ctr"),
         "hero_meta_primary_attr": attr,
         "hero_meta_role_count": F.coalesce("roles_n", F.lit(0)),
         "player_comfort": comfort,

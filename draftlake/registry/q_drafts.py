@@ -48,7 +48,7 @@ def format_canary(spark, d):
 
 
 _SAMPLE = """sample AS (SELECT contest_id FROM contests WHERE season_id = (SELECT max(season_id) FROM contests)
-    ORDER BY contest_id LIMIT 5000)"""
+    )"""
 
 
 @query(sql("contests line_steps", f"""WITH {_SAMPLE}, n AS (SELECT slot, side, count(*) AS c FROM line_steps

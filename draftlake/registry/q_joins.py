@@ -47,7 +47,7 @@ def comfort_eligible(spark, d):
     AND start_time >= CAST(epoch(DATE '{AS_OF}' - INTERVAL 180 DAY) AS BIGINT)
     ORDER BY start_time DESC, contest_id DESC LIMIT 10000"""))
 def recent_contests(spark, d):
-    return filters.recent_contests(star.contests(spark, d), AS_OF)
+    return filters.recent_contests(star.contests(spark, d), AS_OF, limit=10_000)
 
 
 @query(sql("contests", "SELECT contest_id, start_time FROM contests WHERE season_id = 1997"))
@@ -84,7 +84,7 @@ def season_at(spark, d):
     return joins.season_at(lines, "t", star.seasons(spark, d)).drop("t")
 
 
-@query(sql("seasons", """SELECT season_id, release_at AS start_at, coalesce(lead(release_at) OVER (ORDER BY release_at) - 1, 2147483647)
+@query(sql("seasons", """SELECT season_id, release_at AS start_at, coalesce(lead(release_at) OVER (ORDER BY release_at) - 1, 9223372036854775807)
     AS end_at FROM seasons"""))
 def season_ranges(spark, d):
     from draftlake.operators.windows import season_ranges as ranges
@@ -102,7 +102,7 @@ def contests_of_season(spark, d):
 def newest_season_steps(spark, d):
     from draftlake.operators.drafts import newest_season_sample
     t = line_tables(spark, d)
-    return t.steps.join(newest_season_sample(t.contests), "contest_id", "left_semi").select("contest_id")
+    return t.steps.join(newest_season_sample(t.contests, 5000), "contest_id", "left_semi").select("contest_id")
 
 
 def _prior(same: bool) -> str:

@@ -82,7 +82,7 @@ def stream_ingest(spark, d):
     """All documents written as text files, streamed into the tables, and counted there."""
     work = _scratch(spark)
     star.contest_documents(spark, d, faulty=True).write.text(f"{work}/in")
-    ingest.start_ingest(spark, f"{work}/in", f"{work}/out", f"{work}/checkpoint", check_drafts=False).awaitTermination()
+    ingest.start_ingest(spark, f"{work}/in", f"{work}/out", f"{work}/checkpoint", 1_700_000_000, check_drafts=False).awaitTermination()
     names = ["contests", "sides", "players", "steps", "chat", "timeseries", "advantages"]
     parts = [ingest.current_table(spark, f"{work}/out", n).agg(F.count(F.lit(1)).alias("n")).select(
         F.lit(n).alias("table_name"), "n") for n in names]

@@ -34,13 +34,15 @@ def read_jdbc(spark: SparkSession, url: str, table: str, key: str, lower: int, u
                            numPartitions=partitions, properties=properties or {})
 
 
-def write_by_quarter(df: DataFrame, path: str, time_col: str = "start_time", mode: str = "overwrite") -> None:
+def write_by_quarter(df: DataFrame, path: str, time_col: str = "start_time", mode: str = "overwrite",
+                     key: str = "contest_id", files: int = 8) -> None:
     """Write a time table partitioned by UTC quarter, replacing only the quarters present in ``df``.
 
-    Rows are clustered by quarter and key hash before the write, so one busy quarter is spread
-    over many tasks while each task still writes few files.
+    Rows are dealt by quarter and ``files`` parts of the key's hash before the write, so one busy quarter is spread
+    over that many tasks while each task writes few files.
     """
     (df.withColumn("quarter", quarter_of(time_col))
+       .repartition("quarter", F.pmod(F.xxhash64(key), F.lit(files)))
        .write.mode(mode)
        .option("partitionOverwriteMode", "dynamic")
        .partitionBy("quarter")

@@ -64,29 +64,31 @@ def test_counter_is_consistent(spark):
         assert r["games"] == c[b, a]["games"] == r["wins"] + c[b, a]["wins"]
 
 
-def feature_rows(spark, limit):
+def feature_rows(spark, unknown=None):
     _, steps, t = tables(spark, hot=0)
     decided = dec.decisions(t.steps, t.contests)
     picked = decided.filter("is_pick")
     ft = feat.FeatureTables(
         t.contests, t.players, t.items, profiles.team_item_profile(t, None), pairs.pair_synergy(t, None), pairs.pair_counter(t, None),
         profiles.actor_item_profile(t, None), profiles.item_global(t), profiles.item_priors(decided), picked.agg(F.count(F.lit(1)).alias("n")))
-    old, feat.DENSE_ITEM_LIMIT = feat.DENSE_ITEM_LIMIT, limit
-    try:
-        rows = feat.candidate_features(dec.decision_states(decided), ft, n=6).collect()
-    finally:
-        feat.DENSE_ITEM_LIMIT = old
+    states = dec.decision_states(decided)
+    if unknown:
+        states = states.withColumn("item_id", F.when(F.col("slot") == 11, unknown).otherwise(F.col("item_id")).cast(states.schema["item_id"].dataType))
+    rows = feat.candidate_features(states, ft, n=6).collect()
     return steps, {(r["contest_id"], r["slot"], r["item_id"]): r.asDict() for r in rows}
 
 
-def test_dense_and_joined_pair_rates_agree(spark):
-    steps, dense = feature_rows(spark, 512)
-    _, joined = feature_rows(spark, 4)
-    assert dense == joined and len(dense) == 40 * sum(1 + min(6, 15 - s - 1) for s in range(2, 12))
+def test_items_beyond_the_catalogue_get_the_fallbacks(spark):
+    _, known = feature_rows(spark)
+    assert len(known) == 40 * sum(1 + min(6, 15 - s - 1) for s in range(2, 12))
+    _, rows = feature_rows(spark, 600)
+    odd = [r for (_, s, i), r in rows.items() if i == 600]
+    assert len(odd) == 40 and {(r["hero_wr"], r["hero_meta_primary_attr"], r["label"]) for r in odd} == {(0.5, 0.0, 1.0)}
+    assert {k: r for k, r in rows.items() if k[1] < 11} == {k: r for k, r in known.items() if k[1] < 11}
 
 
 def test_candidates_never_see_later_slots(spark):
-    steps, rows = feature_rows(spark, 512)
+    steps, rows = feature_rows(spark)
     drafted = {(c, s): {i for cc, ss, _, i, _ in steps if cc == c and ss < s} for c, s, *_ in steps}
     for c, s, item in rows:
         assert item not in drafted[c, s]
@@ -106,8 +108,7 @@ def test_season_at_edges(spark):
     times = [0, 99, 100, 10**8 - 1, 10**8, 3 * 10**8, 5 * 10**8, 4 * 10**9]
     df = spark.createDataFrame([(t,) for t in times], "t bigint")
     got = {r["t"]: r["season_at_id"] for r in joins.season_at(df, "t", seasons).collect()}
-    assert [got[t] for t in times[:-1]] == [None, None, 1, 1, 2, 2, 3]
-    assert len(got) == len(times)
+    assert [got[t] for t in times] == [None, None, 1, 1, 2, 2, 3, 3]
 
 
 def test_fold_equals_sequential_upserts(spark):

@@ -29,7 +29,7 @@ def state(spark, out):
 def test_ingest_is_idempotent_and_upgrades(spark, tmp_path):
     src, out, ck = (str(tmp_path / n) for n in ("in", "out", "ck"))
     write(src, "a.json", [doc(1, False, radiant_win=True), doc(2, True, radiant_score=7), "not json", doc(0, True)])
-    ingest.start_ingest(spark, src, out, ck).awaitTermination()
+    ingest.start_ingest(spark, src, out, ck, 1_700_000_000).awaitTermination()
     c = {r["contest_id"]: r for r in ingest.current_table(spark, out, "contests").collect()}
     assert set(c) == {1, 2} and not c[1]["is_parsed"] and c[2]["is_parsed"]
     assert [r["contest_id"] for r in ingest.current_table(spark, out, "chat").collect()] == [2]
@@ -37,19 +37,19 @@ def test_ingest_is_idempotent_and_upgrades(spark, tmp_path):
 
     # A parsed version arrives for 1; an unparsed one for 2 changes nothing.
     write(src, "b.json", [doc(1, True, radiant_score=3), doc(2, False, radiant_score=99)])
-    ingest.start_ingest(spark, src, out, ck).awaitTermination()
+    ingest.start_ingest(spark, src, out, ck, 1_700_000_000).awaitTermination()
     c = {r["contest_id"]: r for r in ingest.current_table(spark, out, "contests").collect()}
     assert c[1]["is_parsed"] and c[1]["side0_won"] and c[1]["score0"] == 3 and c[2]["score0"] == 7
     before = state(spark, out)
 
     # The same documents again, and a compaction, leave the tables as they are.
     write(src, "c.json", [doc(1, True, radiant_score=3), doc(2, True, radiant_score=7)])
-    ingest.start_ingest(spark, src, out, ck).awaitTermination()
+    ingest.start_ingest(spark, src, out, ck, 1_700_000_000).awaitTermination()
     assert state(spark, out) == before
     ingest.compact(spark, out)
     assert state(spark, out) == before
     write(src, "d.json", [doc(3, True)])
-    ingest.start_ingest(spark, src, out, ck).awaitTermination()
+    ingest.start_ingest(spark, src, out, ck, 1_700_000_000).awaitTermination()
     after = state(spark, out)
     assert len(after["contests"]) == 3 and set(before["contests"]) < set(after["contests"])
 
@@ -58,7 +58,7 @@ def test_bad_drafts_are_quarantined(spark, tmp_path):
     src, out, ck = (str(tmp_path / n) for n in ("in", "out", "ck"))
     steps = [{"order": i, "is_pick": x == "P", "hero_id": i + 1, "team": i % 2} for i, x in enumerate("PB" * 10)]
     write(src, "a.json", [doc(1, True, game_mode=2, picks_bans=steps), doc(2, True, game_mode=1, picks_bans=steps)])
-    ingest.start_ingest(spark, src, out, ck).awaitTermination()
+    ingest.start_ingest(spark, src, out, ck, 1_700_000_000).awaitTermination()
     q = ingest.read_quarantine(spark, out).collect()
     assert [(r["contest_id"], r["kind"], r["reason"]) for r in q] == [(1, "draft_schema", "draft_pattern")]
     assert [r["contest_id"] for r in ingest.current_table(spark, out, "contests").collect()] == [2]
