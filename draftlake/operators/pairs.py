@@ -72,6 +72,17 @@ def pair_lookup(df: DataFrame, a: str, b: str, synergy: DataFrame) -> DataFrame:
     return keyed.join(rates, ["_lo", "_hi"], "left").drop("_lo", "_hi")
 
 
+def partner_means(cands: DataFrame, keys: list[str], partners: str, rates: DataFrame, item_rates: DataFrame,
+                  out: str) -> DataFrame:
+    """(keys, item_id, mean rate) of candidates with at least one partner; see mean_partner_rate."""
+    spread = cands.select(*keys, "item_id", F.explode(partners).alias("partner_id"))
+    known = (spread.join(rates, ["item_id", "partner_id"], "left")
+             .join(item_rates.select(F.col("item_id").alias("partner_id"), F.col("shrunk_wr").alias("_own")),
+                   "partner_id", "left"))
+    ppm = millionths(F.coalesce("rate", "_own", F.lit(0.5)))
+    return known.groupBy(*keys, "item_id").agg((F.sum(ppm) / F.count(F.lit(1)) / MILLION).alias(out))
+
+
 def mean_partner_rate(cands: DataFrame, keys: list[str], partners: str, rates: DataFrame,
                       item_rates: DataFrame, out: str) -> DataFrame:
     """Mean rate of a candidate with an array of partners.
@@ -80,11 +91,6 @@ def mean_partner_rate(cands: DataFrame, keys: list[str], partners: str, rates: D
     own rate and then to one half, and a candidate without partners gets one half. Works for a
     catalogue of any size; ``keys`` must identify a candidate row.
     """
-    spread = cands.select(*keys, "item_id", F.explode(partners).alias("partner_id"))
-    known = (spread.join(rates, ["item_id", "partner_id"], "left")
-             .join(item_rates.select(F.col("item_id").alias("partner_id"), F.col("shrunk_wr").alias("_own")),
-                   "partner_id", "left"))
-    ppm = millionths(F.coalesce("rate", "_own", F.lit(0.5)))
-    mean = known.groupBy(*keys, "item_id").agg((F.sum(ppm) / F.count(F.lit(1)) / MILLION).alias(out))
+    mean = partner_means(cands, keys, partners, rates, item_rates, out)
     joined = cands.join(mean, [*keys, "item_id"], "left")
     return joined.withColumn(out, F.coalesce(out, F.lit(0.5)))

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from draftlake.functions.scalars import MILLION, attr_code, millionths, role_count
 from draftlake.operators.filters import is_competitive
 from draftlake.operators.joins import salted_lookup
-from draftlake.operators.pairs import both_directions, mean_partner_rate
+from draftlake.operators.pairs import both_directions, partner_means
 from draftlake.plans.decisions import NEGATIVES, SPLIT_SEED, candidate_arrays
 
 # Feature names in their order.
@@ -160,9 +160,11 @@ def candidate_features(states: DataFrame, ft: FeatureTables, n: int | None = NEG
     looked_up = F.transform(pool, lambda i, at: look_up(i, F.when(at == 0, 1.0).otherwise(0.0)))
     keep = ["contest_id", "season_id", "slot", "is_pick", "side", "acting_team", "opp_team", "acting_won",
             "team_picks_before", "enemy_picks_before", "n_actors", "roster_threat"]
-    cands = rows.select(*keep, *partners.values(), F.inline(looked_up))
+    cands = rows.select(*keep, F.inline(looked_up))
+    narrow = decided.select("contest_id", "slot", *partners.values(), F.explode(pool).alias("item_id"))
     for k, frame in _pair_frames(ft).items():
-        cands = mean_partner_rate(cands, ["contest_id", "slot"], partners[k], frame, ft.item_global, k)
+        means = partner_means(narrow, ["contest_id", "slot"], partners[k], frame, ft.item_global, k)
+        cands = cands.join(means, ["contest_id", "slot", "item_id"], "left").withColumn(k, F.coalesce(k, F.lit(0.5)))
     return _assemble(cands.join(item_cards(ft), "item_id", "left"), ft, threat)
 
 
