@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import os
 import re
 
 import numpy as np
 
-MEMORY = 800_000
+MEMORY, CHUNK_CHARS = 600_000, 1 << 19
 _WHITE = re.compile(r"[ \t\n\r]+")
 _ODD = re.compile("[\x1c-\x1f]")
 # Fixed value: the split pattern of the tokenizer file, for counting the words inside a piece.
@@ -66,6 +67,7 @@ class PieceEncoder:
     """
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         import regex
         from tokenizers import Tokenizer
 
@@ -115,6 +117,18 @@ class PieceEncoder:
         return self.encode_many([text])[0]
 
     def encode_many(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text, taken in runs of bounded size; a longer text is a run of its own."""
+        out, at = [], 0
+        while at < len(texts):
+            end, size = at + 1, len(texts[at])
+            while end < len(texts) and size + len(texts[end]) <= CHUNK_CHARS:
+                size += len(texts[end])
+                end += 1
+            out += self._encode_run(texts[at:end])
+            at = end
+        return out
+
+    def _encode_run(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text; unknown pieces of all texts are learned together, a bounded number at a time."""
         pieces = [[p for p in _WHITE.split(t) if p] if _ODD.search(t) else (t.lower() if _plain(t) else t).split() for t in texts]
         sizes = np.cumsum([0] + [len(p) for p in pieces])
@@ -132,7 +146,7 @@ class PieceEncoder:
             parts.append(taken)
             counts[at + 1:at + 1 + len(part)] = size
         ids = np.concatenate(parts) if parts else np.zeros(0, np.uint32)
-        return np.split(ids, np.cumsum(counts)[sizes[1:-1]]) if texts else []
+        return np.split(ids, np.cumsum(counts)[sizes[1:-1]])
 
 
 def _plain(text: str) -> bool:
