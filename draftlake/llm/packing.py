@@ -151,9 +151,13 @@ def plan_packing(histogram: dict[int, int], capacity: int = LENGTH, rounds: int
 
 
 def token_pieces(transcripts: DataFrame, tokenizer: str, id_col: str = "contest_id", text_col: str = "transcript",
-                 length: int = LENGTH, end_id: int = 0) -> DataFrame:
-    """(id, piece, start, length, ids) of every transcript: its token ids and ``end_id``, cut only beyond ``length``."""
+                 length: int = LENGTH, end_id: int = 0, digest: bool = False) -> DataFrame:
+    """(id, piece, start, length, ids) of every transcript: its token ids and ``end_id``, cut only beyond ``length``.
+
+    With ``digest`` the crc32 of the ids (ids_crc32) stands in place of the ids; they then never leave the task.
+    """
     kind = transcripts.schema[id_col].dataType.simpleString()
+    last, last_type = ("ids_crc32", pa.int64()) if digest else ("ids", pa.binary())
 
     def cut(batches):
         encode = encoder(tokenizer).encode_many
@@ -169,12 +173,12 @@ def token_pieces(transcripts: DataFrame, tokenizer: str, id_col: str = "contest_
                         piece.append(p)
                         start.append(s)
                         size.append(len(x[s:s + length]))
-                        data.append(x[s:s + length].tobytes())
+                        data.append(zlib.crc32(x[s:s + length]) if digest else x[s:s + length].tobytes())
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).take(pa.array(rows, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
-                     pa.array(size, pa.int64()), pa.array(data, pa.binary())], ["_id", "piece", "start", "length", "ids"])
+                     pa.array(size, pa.int64()), pa.array(data, last_type)], ["_id", "piece", "start", "length", last])
     return transcripts.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")) \
-        .mapInArrow(cut, f"_id {kind}, piece int, start long, length long, ids binary").withColumnRenamed("_id", id_col)
+        .mapInArrow(cut, f"_id {kind}, piece int, start long, length long, {last} {'long' if digest else 'binary'}").withColumnRenamed("_id", id_col)
 
 
 def pack_transcripts(transcripts: DataFrame, tokenizer: str, id_col: str = "contest_id", text_col: str = "transcript",
@@ -188,15 +192,8 @@ def pack_transcripts(transcripts: DataFrame, tokenizer: str, id_col: str = "cont
     no group of equal lengths meets in one task, and no text or ids are shuffled.
     """
     kind = transcripts.schema[id_col].dataType.simpleString()
-
-    def summed(batches):
-        for batch in batches:
-            crc = [zlib.crc32(x) for x in batch.column(4).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(crc, pa.int64())],
-                                             ["_id", "piece", "start", "length", "ids_crc32"])
-    pieces = token_pieces(transcripts, tokenizer, id_col, text_col, length, end_id) \
-        .mapInArrow(summed, f"_id {kind}, piece int, start long, length long, ids_crc32 long") \
-        .withColumn("_task", F.spark_partition_id()).withColumn("_order", F.monotonically_increasing_id())
+    pieces = token_pieces(transcripts, tokenizer, id_col, text_col, length, end_id, digest=True) \
+        .withColumnRenamed(id_col, "_id").withColumn("_task", F.spark_partition_id()).withColumn("_order", F.monotonically_increasing_id())
     pieces = scratch_table(pieces, "pieces")
     counts = pieces.groupBy("length", "_task").count()
     plan = plan_packing({r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("count").alias("n")).collect()},
