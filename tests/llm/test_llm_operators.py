@@ -162,6 +162,34 @@ def test_near_copies(spark, transcripts, nothing):
     assert weighted_minhash.near_copies(nothing).count() == 0
 
 
+def test_near_copies_beyond_the_hubs(spark):
+    """Texts near one member of a large circle, but not near its centre, which is in every bucket with them."""
+    core = [f"core{i}" for i in range(400)]
+    rows = [(0, " ".join(core))]
+    for i in range(60):
+        own = [f"own{i}n{j}" for j in range(12)]
+        rows.append((1 + i, " ".join(own + core[:i] + core[i + 12:])))
+        if i % 5 == 0:
+            rows.append((100 + i, " ".join(own + [f"far{i}n{j}" for j in range(12)] + core[:i] + core[i + 24:])))
+    source = spark.createDataFrame(rows, "contest_id long, transcript string")
+    weights = weighted_minhash.document_frequencies(source.withColumnRenamed("transcript", "_text"), 1)
+    vectors, sample = [], []
+    for _, t in rows:
+        data = np.frombuffer(t.encode(), np.uint8)
+        vectors.append(weights.vector(texts.word_hashes(data, np.array([0, len(data)]))[0], 1))
+        sample.append(weighted_minhash.samples(*vectors[-1], np.array([0, len(vectors[-1][0])]), 1)[0, 0])
+    group = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if sample[i] == sample[j] and weighted_minhash.similarity(vectors[i], vectors[j]) >= 0.8:
+                a, b = group[i], group[j]
+                group = [min(a, b) if g in (a, b) else g for g in group]
+    assert sum(rows[i][0] >= 100 and group[i] == group[0] for i in range(len(rows))) > 6
+    got = weighted_minhash.near_copies(source, n=1, bands=1, rows=1, row_col="contest_id").collect()
+    assert {r.contest_id: r.class_id for r in got} == {rows[i][0]: min(rows[j][0] for j in range(len(rows)) if group[j] == group[i])
+                                                       for i in range(len(rows))}
+
+
 def test_samples_agree_with_the_similarity():
     rng = np.random.default_rng(5)
     h = rng.integers(0, 2**63, 300).astype(np.uint64)
