@@ -9,23 +9,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from draftlake.llm.texts import byte_chunks, pinned, powers, prefix_sums, scratch_table, span_hashes, word_table
+from draftlake.llm.texts import FOLD, WORD, byte_chunks, pinned, powers, prefix_sums, scratch_table, span_hashes, word_table
 
-SENTENCES, SPAN_WORDS = 2, 12
+SENTENCES, SPAN_WORDS, ALONE_WORDS = 2, 12, 12
 LOWEST = -(1 << 63)
 _STOP = np.isin(np.arange(256), [33, 46, 63])
-_WHITE = np.isin(np.arange(256), [9, 10, 13, 32])
+_MARK = ~WORD[FOLD]
 
 
 def sentences(data: np.ndarray, offsets: np.ndarray):
     """(text, first byte, first word, word hashes) of the sentences of a chunk.
 
-    A sentence ends with . ! or ? before white space, at a line's end or at the end of the text; it begins with its
-    first word. What holds no word belongs to the sentence before it.
+    A sentence ends with . ! or ? before white space or any other byte that no word has, at a line's end or at the end of
+    the text; it begins with its first word. What holds no word belongs to the sentence before it.
     """
     folded, starts, ends, bounds = word_table(data, offsets)
     stop = _STOP[data]
-    stop[:-1] &= _WHITE[data[1:]]
+    stop[:-1] &= _MARK[data[1:]]
     cut = np.concatenate([np.flatnonzero(stop | (data == 10)), offsets[1:] - 1])
     cut = np.unique(cut)
     of = np.searchsorted(cut, starts)
@@ -36,18 +36,24 @@ def sentences(data: np.ndarray, offsets: np.ndarray):
     return text[first], starts[first], first, span_hashes(prefix_sums(folded), starts, ends)
 
 
-def spans(data: np.ndarray, offsets: np.ndarray, least: int = SENTENCES, words: int = SPAN_WORDS):
-    """(text, span hash, first sentence, last sentence) of every run: from each sentence on, as many sentences as it takes
-    to have ``least`` sentences and ``words`` words. Sentences are numbered within their text."""
+def spans(data: np.ndarray, offsets: np.ndarray, least: int = SENTENCES, words: int = SPAN_WORDS, alone: int = ALONE_WORDS):
+    """(text, span hash, first sentence, last sentence) of the shortest runs, each once: from each sentence on and up to
+    each sentence, as many sentences as it takes to have ``least`` sentences and ``words`` words, and each sentence of
+    ``alone`` words by itself. Any longer run is covered by those inside it. Sentences are numbered within their text."""
     text, _, first, hashes = sentences(data, offsets)
     if not len(first):
         return tuple(np.zeros(0, t) for t in (np.int64, np.uint64, np.int64, np.int64))
     after = np.append(first[1:], len(hashes))
     i = np.arange(len(first))
     last = np.maximum(i + least - 1, np.searchsorted(after, first + words))
-    whole = last < len(first)
+    start = np.minimum(i - least + 1, np.searchsorted(first, after - words, side="right") - 1)
+    single = after - first >= alone
+    # With pairs, a run that reaches a sentence standing alone needs no hash from its other end.
+    some = ~single if least <= 2 and alone >= words else np.ones(len(first), bool)
+    i, last = np.concatenate([i[some], start[some], i[single]]), np.concatenate([last[some], i[some], i[single]])
+    whole = (i >= 0) & (last < len(first))
     whole[whole] = text[last[whole]] == text[i[whole]]
-    i, last = i[whole], last[whole]
+    i, last = np.divmod(np.unique(i[whole] * len(first) + last[whole]), len(first))
     sums = _word_sums(hashes)
     base = np.searchsorted(text, np.arange(len(offsets) - 1))
     return text[i], span_hashes(sums, first[i], after[last]), i - base[text[i]], last - base[text[i]]
@@ -61,10 +67,11 @@ def _word_sums(hashes: np.ndarray) -> np.ndarray:
 
 
 def remove_repeats(transcripts: DataFrame, id_col: str = "contest_id", text_col: str = "transcript",
-                   least: int = SENTENCES, words: int = SPAN_WORDS) -> DataFrame:
+                   least: int = SENTENCES, words: int = SPAN_WORDS, alone: int = ALONE_WORDS) -> DataFrame:
     """(id, n_sentences, n_removed, n_spans, kept, kept_sha256) per transcript, without repeated sentence runs.
 
-    Every run of consecutive sentences (at least ``least``, and ``words`` words) is hashed by its lower-cased words. Of
+    Runs of consecutive sentences (at least ``least``, and ``words`` words; or one of ``alone`` words) are compared by
+    their lower-cased words; hashes of the shortest from and up to each sentence stand for all. Of
     equal runs the first stays: least id (equal ids: least row number; null ids first), then the earliest. Sentences
     covered by any other go, with what follows them up to the next sentence. Null text counts as empty; a text without
     a repeated run stays byte for byte. Ids are whole numbers; other columns are not read.
@@ -77,7 +84,7 @@ def remove_repeats(transcripts: DataFrame, id_col: str = "contest_id", text_col:
         for batch in batches:
             ids, rows = (np.asarray(batch.column(i).to_numpy(zero_copy_only=False), np.int64) for i in range(2))
             for at, end, data, offsets in byte_chunks(batch, "_text"):
-                text, span, first, last = spans(data, offsets, least, words)
+                text, span, first, last = spans(data, offsets, least, words, alone)
                 yield pa.RecordBatch.from_arrays([pa.array(span.view(np.int64)), pa.array(ids[text + at]), pa.array(rows[text + at]),
                                                   pa.array(first.astype(np.int32)), pa.array(last.astype(np.int32))],
                                                  ["span", "id", "doc", "first", "last"])

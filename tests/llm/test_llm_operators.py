@@ -138,6 +138,34 @@ def test_removed_sentences(transcripts, nothing):
     assert sentence_spans.remove_repeats(nothing).count() == 0
 
 
+def test_removed_sentences_against_all_runs(spark):
+    def sentence(name, n, mark=". "):
+        return " ".join(f"{name}{i}" for i in range(n)) + mark
+    tail = sentence("a", 10) + sentence("b", 3) + sentence("c", 3) + sentence("d", 3)
+    alone, marks = sentence("long", 14), sentence("e", 8, ".*** ") + sentence("f", 8, "!%%% ")
+    rows = [(1, sentence("p", 4) + tail + alone + marks), (2, sentence("q", 4) + tail + sentence("r", 4)),
+            (3, sentence("s", 4) + alone + sentence("t", 4)), (4, sentence("u", 9, "?$$$ ") + marks + sentence("v", 9)), (5, marks * 3)]
+    rng = np.random.default_rng(4)
+    rows += [(6 + i, "".join(sentence(f"n{k}w", 1 + k * 7 % 16) for k in rng.integers(0, 9, 12))) for i in range(40)]
+    source = spark.createDataFrame(rows, "contest_id long, transcript string")
+    for least in (2, 3):
+        seen, exp = set(), {}
+        for c, t in rows:
+            found = [WORD.findall(x) for x in re.split(rb"[.!?](?![0-9a-z\x80-\xff])|\n", t.encode()) if WORD.search(x)]
+            gone = [False] * len(found)
+            for k in range(len(found)):
+                for end in range(k + 1, len(found) + 1):
+                    run = tuple(w for x in found[k:end] for w in x)
+                    if len(run) >= 12 and (end - k >= least or end - k == 1):
+                        if run in seen:
+                            gone[k:end] = [True] * (end - k)
+                        seen.add(run)
+            exp[c] = (len(found), sum(gone))
+        got = {r.contest_id: (r.n_sentences, r.n_removed) for r in sentence_spans.remove_repeats(source, least=least).collect()}
+        assert got == exp
+    assert exp[2][1] == 4 and exp[3][1] == 1
+
+
 def test_near_copies(spark, transcripts, nothing):
     rows = edge_rows()
     source = spark.createDataFrame(rows, "_id long, _text string")
