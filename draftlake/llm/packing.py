@@ -14,6 +14,7 @@ from draftlake.llm.texts import scratch_table
 from draftlake.llm.tokens import encoder
 
 LENGTH = 2048
+STEP, GAP = 0.125, 0.02
 
 
 @dataclass(frozen=True)
@@ -43,46 +44,66 @@ class PackingPlan:
         return sequence, offset
 
 
-def _best_pattern(worth: np.ndarray, sizes: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
-    """Unbounded knapsack by dynamic programming: the multiset of sizes of most worth that fits."""
-    best, pick = np.zeros(capacity + 1), np.full(capacity + 1, -1)
+def _fillings(worth: np.ndarray, sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """Unbounded knapsack by dynamic programming: the most worth that fits each room, and the size it takes (-1: a gap)."""
+    best, pick = np.zeros(capacity + 1), np.full(capacity + 1, -1, np.int64)
     order = np.argsort(-sizes)
     sizes_d, worth_d = sizes[order], worth[order]
+    begin = np.searchsorted(-sizes_d, -np.arange(capacity + 1))
     for c in range(int(sizes.min()), capacity + 1):
-        k = np.searchsorted(-sizes_d, -c)
+        k = begin[c]
         gain = worth_d[k:] + best[c - sizes_d[k:]]
         j = int(gain.argmax())
         if gain[j] > best[c - 1]:
-            best[c], pick[c] = gain[j], k + j
+            best[c], pick[c] = gain[j], order[k + j]
         else:
-            best[c], pick[c] = best[c - 1], -1
-    counts, c = np.zeros(len(sizes), np.int64), capacity
-    while c > 0:
-        if pick[c] < 0:
-            c -= 1
-        else:
-            counts[order[pick[c]]] += 1
-            c -= int(sizes_d[pick[c]])
-    return float(best[capacity]), counts
+            best[c] = best[c - 1]
+    return best, pick
 
 
-def configurations(sizes: np.ndarray, counts: np.ndarray, capacity: int, rounds: int = 120, rate: float = 0.4):
-    """Fractional cover of the histogram by patterns: list of (pieces per size, number of sequences).
+def configurations(sizes: np.ndarray, counts: np.ndarray, capacity: int, rounds: int = 120, rate: float = 0.05):
+    """(fractional cover of the histogram by patterns, lower bound): the cover is a list of (pieces per size, sequences).
 
-    Multiplicative weights: the worth of a length rises while it is covered less than the others; the pattern of most
-    worth (knapsack) is used to the extent its scarcest length allows.
+    Multiplicative weights: a length's worth starts at its size and falls with its cover. One knapsack a round prices the
+    best pattern with each length; those within ``rate`` of the best of all are used, the least covered lengths first,
+    until one of their lengths is covered by another eighth. No pattern has more pieces of a length than there are. The
+    worths also give a lower bound on the sequences (the dual program). It ends when every length is covered and the
+    cover is within GAP of that bound, or has not come nearer to it for ``rounds`` rounds.
     """
-    load, used = np.zeros(len(sizes)), {}
-    for _ in range(rounds):
-        weight = np.exp(-rate * rounds / 8 * (load - load.min())).clip(1e-12)
-        worth = weight / counts * counts.sum()
-        _, pattern = _best_pattern(worth * 1.0 + 1e-9 * sizes, sizes, capacity)
-        step = (counts[pattern > 0] / pattern[pattern > 0]).min() / 8
-        load += step * pattern / counts
-        key = tuple(np.flatnonzero(pattern)), tuple(pattern[pattern > 0])
-        used[key] = used.get(key, 0.0) + step
-    cover = max(load.min(), 1e-12)
-    return [(dict(zip(k, v)), x / cover) for (k, v), x in used.items()]
+    load, used, total, bound, gap, since = np.zeros(len(sizes)), {}, 0.0, 0.0, np.inf, 0
+    size, number = sizes.tolist(), counts.astype(float).tolist()
+    while gap > GAP and since < rounds:
+        worth = sizes * np.exp(-rate / STEP * (load - load.min())).clip(1e-12)
+        best, pick = _fillings(worth, sizes, capacity)
+        bound = max(bound, float((counts * worth).sum() / best[-1]))
+        good = worth + best[capacity - sizes] >= (1 - rate) * best[-1]
+        room, picks = [STEP] * len(size), pick.tolist()
+        order = np.lexsort((-sizes, load))
+        for i in order[good[order]].tolist():
+            if room[i] < STEP:
+                continue
+            pattern, c = {i: 1}, capacity - size[i]
+            while c > 0:
+                j = picks[c]
+                if j < 0 or pattern.get(j, 0) >= number[j]:
+                    c -= 1
+                    continue
+                pattern[j] = pattern.get(j, 0) + 1
+                c -= size[j]
+            x = min(room[j] * number[j] / k for j, k in pattern.items())
+            if x <= 0:
+                continue
+            for j, k in pattern.items():
+                room[j] = max(room[j] - x * k / number[j], 0.0)
+            key = tuple(sorted(pattern.items()))
+            used[key] = used.get(key, 0.0) + x
+            total += x
+        load += STEP - np.array(room)
+        if load.min() > 0:
+            now = total / load.min() / bound - 1
+            since = 0 if now < gap * 0.999 else since + 1
+            gap = min(gap, now)
+    return [(dict(k), x / load.min()) for k, x in used.items()], bound
 
 
 def _best_fit(left: np.ndarray, sizes: np.ndarray, capacity: int):
@@ -116,9 +137,10 @@ def _best_fit(left: np.ndarray, sizes: np.ndarray, capacity: int):
 def plan_packing(histogram: dict[int, int], capacity: int = LENGTH, rounds: int = 120) -> PackingPlan:
     """Pack a histogram of piece lengths (1 to capacity) into few sequences.
 
-    The program's fractional solution is rounded down pattern by pattern; what is left, and the histogram as a whole,
-    are packed best-fit decreasing, and the better of the two packings is used. All of it works on the histogram,
-    which has at most ``capacity`` entries.
+    The program's fractional solution is rounded down pattern by pattern, and one more sequence of each pattern is used
+    where its pieces are left, the largest fractions first, until these make up what rounding took. The rest, and the
+    histogram as a whole, are packed best-fit decreasing, and the better of the two packings is used. All of it works on
+    the histogram, which has at most ``capacity`` entries.
     """
     sizes = np.array(sorted(n for n, c in histogram.items() if c), np.int64)
     counts = np.array([histogram[int(n)] for n in sizes], np.int64)
@@ -126,12 +148,16 @@ def plan_packing(histogram: dict[int, int], capacity: int = LENGTH, rounds: int
     if not len(sizes):
         return empty
     left, runs = counts.copy(), []
-    for pattern, x in sorted(configurations(sizes, counts.astype(float), capacity, rounds), key=lambda p: -p[1]):
-        many = min([int(x), *(int(left[i] // c) for i, c in pattern.items())])
-        if many > 0:
-            runs.append(({int(i): int(c) for i, c in pattern.items()}, many))
-            for i, c in pattern.items():
-                left[i] -= c * many
+    cover, _ = configurations(sizes, counts, capacity, rounds)
+    more = round(sum(x - int(x) for _, x in cover))
+    for part in (int, None):
+        for pattern, x in sorted(cover, key=lambda p: -p[1] if part else int(p[1]) - p[1]):
+            many = min([int(x) if part else min(1, more), *(int(left[i] // c) for i, c in pattern.items())])
+            if many > 0:
+                more -= 0 if part else many
+                runs.append(({int(i): int(c) for i, c in pattern.items()}, many))
+                for i, c in pattern.items():
+                    left[i] -= c * many
     runs += _best_fit(left, sizes, capacity)
     plain = _best_fit(counts, sizes, capacity)
     if sum(m for _, m in plain) < sum(m for _, m in runs):

@@ -292,6 +292,28 @@ def test_packing_plan_is_never_worse_than_best_fit():
         assert -(-sum(n * c for n, c in histogram.items()) // 300) <= packing.plan_packing(histogram, 300, 60).sequences <= plain
 
 
+def test_configurations_cover_every_length():
+    rng = np.random.default_rng(5)
+    sizes = np.unique(rng.integers(1, 513, 400))
+    counts = rng.integers(1, 9, len(sizes))
+    assert (sizes > 256).sum() > 120
+    cover, bound = packing.configurations(sizes, counts, 512)
+    covered = np.zeros(len(sizes))
+    for pattern, x in cover:
+        assert sum(int(sizes[i]) * c for i, c in pattern.items()) <= 512 and all(c <= counts[i] for i, c in pattern.items())
+        for i, c in pattern.items():
+            covered[i] += c * x
+    assert (covered >= counts * (1 - 1e-9)).all()
+    assert (counts * sizes).sum() / 512 <= bound * (1 + 1e-9) and bound <= packing.plan_packing(dict(zip(sizes.tolist(), counts.tolist())), 512).sequences
+    assert sum(x for _, x in cover) <= 1.1 * bound
+
+
+def test_configurations_decide_a_large_histogram():
+    lengths, counts = np.unique(np.random.default_rng(1).lognormal(5, 0.9, 200_000).astype(int).clip(1, 512), return_counts=True)
+    plan = packing.plan_packing(dict(zip(lengths.tolist(), counts.tolist())), 512)
+    assert -(-int((lengths * counts).sum()) // 512) <= plan.sequences < sum(m for _, m in packing._best_fit(counts, lengths, 512))
+
+
 def test_quality_ranks_held_out_rows(spark, transcripts, nothing):
     good = [(100 + i, " ".join(w for w in f"play{i} ward{i * 7} roam{i * 3} stack{i} pull smoke dive{i} farm").title() + ".", 1) for i in range(30)]
     bad = [(200 + i, "###$$$ " * (i + 3) + "gg " * 40, 0) for i in range(30)]
