@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from draftlake.llm import block_names, decontaminate, html_runs, longest_previous, packing, pairwise_quality, pseudo_likelihood, sentence_spans, token_files, weighted_minhash
+from draftlake.llm import (block_names, byte_index, decontaminate, hard_negatives, html_runs, longest_previous, packing, pairwise_quality,
+                           periodic_runs, pseudo_likelihood, sentence_spans, token_files, weighted_minhash)
 
 QUERIES, ORACLES = {}, {}
 FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -120,6 +121,52 @@ def op10(spark, d):
     return block_names.exact_copies(transcripts(spark, d)).drop("row_key").withColumnRenamed("contest_id", "doc_id")
 
 
+@query("op11_byte_index")
+def op11(spark, d):
+    return byte_index.near_copies(transcripts(spark, d)).withColumnRenamed("contest_id", "doc_id")
+
+
+def planted_period() -> F.Column:
+    """The transcript, for a tenth of the contests with a word of it repeated in cycles from place a on, as the contract says."""
+    h = F.crc32(F.col("contest_id").cast("string").cast("binary"))
+    words = F.filter(F.split("transcript", "[ \\t-\\r]+"), lambda w: w != "")
+    n, g = F.greatest(F.size(words), F.lit(1)), F.floor(h / 10)
+    a = (g % n).cast("int")
+    p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+    cycle = F.flatten(F.array_repeat(F.slice(words, a + 1, p), F.ceil((n - a) / p).cast("int")))
+    return F.when((h % 10 == 0) & (F.size(words) > 0), F.array_join(F.concat(F.slice(words, F.lit(1), a), F.slice(cycle, F.lit(1), n - a)), " ")).otherwise(F.col("transcript"))
+
+
+@query("op12_periodic_runs")
+def op12(spark, d):
+    found = periodic_runs.periodic_runs(transcripts(spark, d).withColumn("transcript", planted_period()))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    best = periodic_runs.longest_run()
+    return found.select(
+        F.col("contest_id").alias("doc_id"), F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"), best["length"].alias("length"),
+        best["period"].alias("period"), F.floor(1000 * best["length"] / best["period"]).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+@query("op13_hard_negatives", """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x
+           FROM embeddings
+           WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS a, b.vec_id AS b, a.label = b.label AS same, list_inner_product(a.x, b.x)::BIGINT AS s
+      FROM v a, v b WHERE a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT a, b, s FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY s DESC, b) <= 5)
+SELECT p.a AS anchor_id, p.b AS positive_id, (row_number() OVER w)::INTEGER AS rank, s.b AS negative_id, p.s AS positive_score, s.s AS negative_score
+FROM p JOIN s ON s.a = p.a AND NOT s.same AND 30 * p.s <= 100 * s.s AND 100 * s.s <= 90 * p.s
+WINDOW w AS (PARTITION BY p.a, p.b ORDER BY s.s DESC, s.b) QUALIFY row_number() OVER w <= 10""")
+def op13(spark, d):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = spark.read.parquet(f"{d}/embeddings.parquet").select(
+        F.col("vec_id").alias("candidate_id"), F.col("embedding").alias("features"), label.alias("label"), (F.col("vec_id") % 100 == 0).alias("is_anchor"))
+    return hard_negatives.mine_hard_negatives(vectors)
+
+
 def all_queries() -> dict:
     """The numbered queries, and the pipeline as one query."""
     import corpus_pipeline

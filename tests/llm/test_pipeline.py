@@ -10,7 +10,7 @@ SF_DIR = "/root/testdata/sf0.001"
 
 def test_all_numbers_are_registered():
     entry = importlib.import_module("__spark_entry__")
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= set(entry.queries())
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
