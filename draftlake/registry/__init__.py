@@ -4,7 +4,7 @@ import importlib
 
 from draftlake.registry.core import ORACLES, QUERIES
 
-_MODULES = ["q_profiles", "q_drafts", "q_features", "q_decode", "q_joins", "q_streams"]
+_MODULES = ["q_profiles", "q_drafts", "q_features", "q_decode", "q_joins", "q_streams", "q_store"]
 for _m in _MODULES:
     importlib.import_module(f"draftlake.registry.{_m}")
 

@@ -65,31 +65,38 @@ def stream_static_dedup(spark, d):
     return spark.read.parquet(f"{work}/out").drop("batch_id")
 
 
-_BAD = """(contest_id = 0 OR (side0_won IS NULL AND lobby IN (1, 2, 4, 5)))"""
-
-
-@query(sql("contests line_steps line_seats", f"""WITH good AS (SELECT * FROM contests WHERE NOT {_BAD}
-      AND contest_id IN (SELECT l_orderkey FROM lineitem)), parsed AS (SELECT * FROM good WHERE lobby <> 3)
+# Patterns of a whole draft in the three eras.
+_PATTERNS = ("^B{0,7}P{2}B{0,3}P{6}B{0,4}P{2}$", "^B{0,4}P{4}B{0,6}P{4}B{0,4}P{2}$", "^B{0,4}P{6}B{0,6}P{4}$")
+_PER_STEP = ("steps", "draft_timings", "objectives", "chat", "teamfights")
+
+
+@query(sql("contests seq_steps seq_seats", f"""WITH codes AS (SELECT contest_id, count(*) AS n, count_if(is_pick) AS picks,
+      string_agg(CASE WHEN is_pick THEN 'P' ELSE 'B' END, '' ORDER BY slot) AS code FROM seq_steps GROUP BY 1),
+    checked AS (SELECT contests.*, CASE WHEN contest_id = 0 THEN 'invalid_contest_id' WHEN side0_won IS NULL AND lobby = 5 THEN 'start_time_missing'
+        WHEN side0_won IS NULL AND lobby = 4 THEN 'negative_duration' WHEN side0_won IS NULL AND lobby = 2 THEN 'invalid_player_slot'
+        WHEN side0_won IS NULL AND lobby = 1 THEN 'invalid_pick_side' WHEN n NOT BETWEEN 16 AND 24 THEN 'draft_length' WHEN picks <> 10 THEN 'draft_pick_count'
+        WHEN NOT ({" OR ".join(f"regexp_matches(code, '{p}')" for p in _PATTERNS)}) THEN 'draft_pattern' END AS reason
+      FROM contests JOIN codes USING (contest_id)),
+    good AS (SELECT * FROM checked WHERE reason IS NULL), parsed AS (SELECT * FROM good WHERE lobby <> 3)
     SELECT 'contests' AS table_name, count(*) AS n FROM good
     UNION ALL SELECT 'sides', count_if(team0 <> 0) + count_if(team1 <> 0) FROM good
-    UNION ALL SELECT 'players', count(*) FROM line_seats SEMI JOIN good USING (contest_id)
-    UNION ALL SELECT 'steps', count(*) FROM line_steps SEMI JOIN parsed USING (contest_id)
-    UNION ALL SELECT 'chat', count(*) FROM line_steps SEMI JOIN parsed USING (contest_id)
-    UNION ALL SELECT 'timeseries', CAST(sum(player_slot % 128 + 2) AS BIGINT) FROM line_seats SEMI JOIN parsed USING (contest_id)
+    UNION ALL SELECT 'players', count(*) FROM seq_seats SEMI JOIN good USING (contest_id)
+    UNION ALL SELECT 'player_details', count(*) FROM seq_seats SEMI JOIN parsed USING (contest_id)
+    {"".join(f"UNION ALL SELECT '{t}', count(*) FROM seq_steps SEMI JOIN parsed USING (contest_id) " for t in _PER_STEP)}
+    UNION ALL SELECT 'timeseries', CAST(sum(player_slot % 128 + 2) AS BIGINT) FROM seq_seats SEMI JOIN parsed USING (contest_id)
     UNION ALL SELECT 'advantages', count(*) FROM parsed WHERE side0_won IS NOT NULL
-    UNION ALL SELECT 'quarantine', count(*) FROM contests WHERE {_BAD} AND contest_id IN (SELECT l_orderkey FROM lineitem)"""))
+    UNION ALL SELECT 'cosmetics', count(*) FROM parsed WHERE league_id > 0
+    UNION ALL SELECT 'quarantine ' || reason, count(*) FROM checked WHERE reason IS NOT NULL GROUP BY reason"""))
 def stream_ingest(spark, d):
-    """All documents written as text files, streamed into the tables, and counted there."""
+    """All documents written as text files, streamed into the twelve tables with their drafts checked, and counted there."""
     work = _scratch(spark)
-    star.contest_documents(spark, d, faulty=True).write.text(f"{work}/in")
-    ingest.start_ingest(spark, f"{work}/in", f"{work}/out", f"{work}/checkpoint", 1_700_000_000, check_drafts=False).awaitTermination()
-    names = ["contests", "sides", "players", "steps", "chat", "timeseries", "advantages"]
-    parts = [ingest.current_table(spark, f"{work}/out", n).agg(F.count(F.lit(1)).alias("n")).select(
-        F.lit(n).alias("table_name"), "n") for n in names]
-    out = ingest.read_quarantine(spark, f"{work}/out").agg(F.count(F.lit(1)).alias("n")).select(
-        F.lit("quarantine").alias("table_name"), "n")
-    for p in parts:
-        out = out.unionByName(p)
+    star.contest_documents(spark, d, faulty=True, full_drafts=True).write.text(f"{work}/in")
+    ingest.start_ingest(spark, f"{work}/in", f"{work}/out", f"{work}/checkpoint", 1_700_000_000, layout="quarters").awaitTermination()
+    out = ingest.read_quarantine(spark, f"{work}/out").groupBy("reason").agg(F.count(F.lit(1)).alias("n")).select(
+        F.concat(F.lit("quarantine "), "reason").alias("table_name"), "n")
+    for name in ingest.POLICIES:
+        table = ingest.current_table(spark, f"{work}/out", name)
+        out = out.unionByName(table.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table_name"), "n"))
     return out
 
 

@@ -160,19 +160,20 @@ def with_contest(players: DataFrame, contests_df: DataFrame) -> DataFrame:
     return players.join(c, "contest_id").withColumn("won", side_won("side", "side0_won")).drop("side0_won")
 
 
-def contest_documents(spark: SparkSession, sf_dir: str, faulty: bool = False) -> DataFrame:
-    """Nested JSON documents of the line variant, in a column ``raw``.
+def contest_documents(spark: SparkSession, sf_dir: str, faulty: bool = False, full_drafts: bool = False) -> DataFrame:
+    """Nested JSON documents of the line variant, or with ``full_drafts`` of the sequence variant, in a column ``raw``.
 
     A document holds at most 25 steps and ten players: both were reduced to one row per brand or
     seat before they are gathered. With ``faulty`` some documents of undecided orders break the
     validity rules, by lobby.
     """
     base = contests(spark, sf_dir)
-    steps = line_steps(spark, sf_dir, spread_contests=True)
+    steps = sequence_steps(spark, sf_dir) if full_drafts else line_steps(spark, sf_dir, spread_contests=True)
+    players = sequence_players(spark, sf_dir) if full_drafts else line_players(spark, sf_dir)
     slot, item = F.col("slot"), F.col("item_id")
     step_lists = steps.groupBy("contest_id").agg(F.sort_array(F.collect_list(F.struct(
         slot.alias("slot"), "is_pick", "item_id", "side"))).alias("s"))
-    seats = line_players(spark, sf_dir).groupBy("contest_id").agg(F.sort_array(F.collect_list(F.struct(
+    seats = players.groupBy("contest_id").agg(F.sort_array(F.collect_list(F.struct(
         "player_slot", "account_id", "item_id", "side"))).alias("p"))
     docs = base.join(step_lists, "contest_id").join(seats, "contest_id", "left")
     played = F.col("lobby") != 3

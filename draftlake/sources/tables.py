@@ -35,8 +35,8 @@ def read_jdbc(spark: SparkSession, url: str, table: str, key: str, lower: int, u
 
 
 def write_by_quarter(df: DataFrame, path: str, time_col: str = "start_time", mode: str = "overwrite",
-                     key: str = "contest_id", files: int = 8) -> None:
-    """Write a time table partitioned by UTC quarter, replacing only the quarters present in ``df``.
+                     key: str = "contest_id", files: int = 8, replace_all: bool = False) -> None:
+    """Write a time table partitioned by UTC quarter, replacing only the quarters present in ``df``, or all of them.
 
     Rows are dealt by quarter and ``files`` parts of the key's hash before the write, so one busy quarter is spread
     over that many tasks while each task writes few files.
@@ -44,7 +44,7 @@ def write_by_quarter(df: DataFrame, path: str, time_col: str = "start_time", mod
     (df.withColumn("quarter", quarter_of(time_col))
        .repartition("quarter", F.pmod(F.xxhash64(key), F.lit(files)))
        .write.mode(mode)
-       .option("partitionOverwriteMode", "dynamic")
+       .option("partitionOverwriteMode", "static" if replace_all else "dynamic")
        .partitionBy("quarter")
        .parquet(path))
 
@@ -62,7 +62,6 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 
-
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Hash by key into the session's number of shuffle partitions, before adaptive merging.
 
