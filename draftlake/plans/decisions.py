@@ -72,6 +72,19 @@ def candidate_arrays(states: DataFrame, items: DataFrame, n: int | None = NEGATI
     return with_free.withColumn("others", others).drop("catalogue", "free")
 
 
+def request_arrays(states: DataFrame, items: DataFrame) -> DataFrame:
+    """Requested positions with the whole legal pool as candidates; nothing has been chosen yet."""
+    pool = legal_pool(F.col("_catalogue"), "drafted")
+    return states.withColumn("_catalogue", catalogue_array(items).scalar()).withColumn("pool", pool) \
+        .withColumn("chosen", F.lit(False)).drop("_catalogue", "drafted")
+
+
+def unusable_items(items: DataFrame) -> DataFrame:
+    """Items that can be no candidate because their id is absent or no positive two-byte number, with the reason."""
+    reason = F.when(F.col("item_id").isNull(), "absent").when(F.col("item_id") <= 0, "not positive").when(F.col("item_id") >= ID_SPAN, "beyond two bytes")
+    return items.select("*", reason.alias("reason")).filter("reason is not null")
+
+
 def candidates(states: DataFrame, items: DataFrame, n: int | None = NEGATIVES, seed: int = SPLIT_SEED) -> DataFrame:
     """One row per candidate of every pick; ``label`` is 1 for the item really chosen."""
     rows = candidate_arrays(states, items, n, seed)

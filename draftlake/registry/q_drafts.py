@@ -11,17 +11,22 @@ from draftlake.registry.inputs import line_tables, seq_tables
 from draftlake.registry.sqlparts import sql
 from draftlake.sources import star
 
-_WHOLE = {e[0]: e[2] for e in drafts.ERAS}
+# Eras with their length, the pattern of a whole draft and of its beginning, stated here for the SQL on its own.
+_ERAS = [
+    ("7_33_plus", 24, "^B{0,7}P{2}B{0,3}P{6}B{0,4}P{2}$", "^B{0,7}(P{0,1}|P{2}B{0,3}(P{0,5}|P{6}B{0,4}P{0,2}))$"),
+    ("7_30_to_7_32", 24, "^B{0,4}P{4}B{0,6}P{4}B{0,4}P{2}$", "^B{0,4}(P{0,3}|P{4}B{0,6}(P{0,3}|P{4}B{0,4}P{0,2}))$"),
+    ("pre_7_30", 20, "^B{0,4}P{6}B{0,6}P{4}$", "^B{0,4}(P{0,5}|P{6}B{0,6}P{0,4})$"),
+]
 _CODES = """codes AS (SELECT contest_id, count(*) AS n_steps, count_if(is_pick) AS n_picks,
     string_agg(CASE WHEN is_pick THEN 'P' ELSE 'B' END, '' ORDER BY slot) AS code,
     sha256(string_agg(side || ':' || CASE WHEN is_pick THEN 'pick' ELSE 'ban' END || '|', '' ORDER BY slot)) AS digest
     FROM {steps} GROUP BY 1)"""
 _FAULT = "CASE WHEN n_steps NOT BETWEEN 16 AND 24 THEN 'length' WHEN n_picks <> 10 THEN 'pick_count' WHEN NOT (" + \
-    " OR ".join(f"regexp_matches(code, '{e[2]}')" for e in drafts.ERAS) + ") THEN 'pattern' END"
+    " OR ".join(f"regexp_matches(code, '{e[2]}')" for e in _ERAS) + ") THEN 'pattern' END"
 _ERA = "coalesce(list_min([" + ", ".join(
     f"CASE WHEN regexp_matches(code, '{e[3]}') AND {e[1]} - n_steps <= n_steps "
     f"THEN {{'gap': {e[1]} - n_steps, 'rank': {i}, 'name': '{e[0]}'}} END"
-    for i, e in enumerate(drafts.ERAS)) + "]).name, 'unknown')"
+    for i, e in enumerate(_ERAS)) + "]).name, 'unknown')"
 
 
 def _validated(steps: str) -> str:

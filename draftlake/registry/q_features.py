@@ -11,6 +11,7 @@ from draftlake.plans import decisions as dec
 from draftlake.plans import evaluation as ev
 from draftlake.plans import features as feat
 from draftlake.plans import scoring
+from draftlake.plans.feature_registry import DEFAULT, FeatureRegistry
 from draftlake.registry.core import query
 from draftlake.registry.inputs import seq_tables
 from draftlake.registry.q_drafts import CANDIDATES, DECISIONS, SAMPLE_KEY
@@ -115,10 +116,28 @@ def _means():
     return [_millionths(F.col(f)).alias(f) for f in feat.FEATURES]
 
 
-@query(_feature_sql(f"SELECT slot, label, count(*) AS n, {_MEANS_SQL} FROM f GROUP BY 1, 2"))
+@query(_feature_sql(f"SELECT contest_id, slot, label, count(*) AS n, {_MEANS_SQL} FROM f GROUP BY 1, 2, 3"))
 def candidate_features(spark, d):
-    """All 24 features of all candidates, summed per slot and label."""
-    return feature_frame(spark, d).groupBy("slot", "label").agg(F.count(F.lit(1)).alias("n"), *_means())
+    """All 24 features: of the chosen item of every decision, and summed over the others."""
+    return feature_frame(spark, d).groupBy("contest_id", "slot", "label").agg(F.count(F.lit(1)).alias("n"), *_means())
+
+
+_ASKED = ["hero_wr", "mean_counter_vs_enemies", "team_picks_before", "rate_gap"]
+
+
+@query(_feature_sql(f"""SELECT contest_id, slot, item_id, label, {", ".join(f"CAST(round({f} * 1000000) AS BIGINT) AS {f}" for f in _ASKED)}
+    FROM (SELECT *, abs(hero_wr - coalesce(best, 0.0::DOUBLE)) AS rate_gap FROM f LEFT JOIN (SELECT item_id, max(shrunk_wr) AS best
+      FROM seq_team_item_all GROUP BY 1) b USING (item_id)) WHERE label > 0"""))
+def chosen_features(spark, d):
+    """Three features asked for by name and a user's own one with an input of its own, for the chosen items."""
+    own = FeatureRegistry(DEFAULT)
+    own.register_input("team_best", lambda cands, ft: cands.join(
+        ft.team_item.groupBy("item_id").agg(F.max("shrunk_wr").alias("best")), "item_id", "left"))
+    own.register("rate_gap", lambda ft: F.abs(F.coalesce("item_wr", F.lit(0.5)) - F.coalesce("best", F.lit(0.0))), "priors", "team_best")
+    t = seq_tables(spark, d)
+    decided = dec.decisions(t.steps, t.contests)
+    frame = feat.candidate_features(dec.decision_states(decided), feature_tables(t, decided), 0, features=_ASKED, registry=own)
+    return frame.select("contest_id", "slot", "item_id", "label", *[millionths(F.col(f)).alias(f) for f in _ASKED])
 
 
 @query(_feature_sql(f"SELECT item_id, label, count(*) AS n, {_MEANS_SQL} FROM f GROUP BY 1, 2", "roster_threat"))
@@ -127,7 +146,16 @@ def candidate_features_roster_threat(spark, d):
     return feature_frame(spark, d, threat="roster").groupBy("item_id", "label").agg(F.count(F.lit(1)).alias("n"), *_means())
 
 
-_SCORE = "0.5::DOUBLE" + "".join(f" + {f} * {w}::DOUBLE" for f, w in scoring.WEIGHTS.items())
+# Weights of the linear score, stated here for the SQL on its own.
+_WEIGHTS = [
+    ("team_picks", 0.002), ("team_wr_shrunk", 0.30), ("mean_syn_with_allies", 0.25), ("mean_counter_vs_enemies", 0.20),
+    ("hero_meta_primary_attr", 0.02), ("hero_meta_role_count", 0.05), ("player_comfort", 0.15), ("star_threat", -0.10),
+    ("hero_pick_rate", 0.08), ("hero_wr", 0.12), ("hero_popularity", 0.02), ("attr_is_str", 0.005), ("attr_is_agi", 0.005),
+    ("attr_is_int", 0.005), ("attr_fit_score", 0.04), ("draft_slot_norm", 0.005), ("is_pick_phase", 0.01),
+    ("team_picks_before", 0.005), ("enemy_picks_before", -0.005), ("is_first_pick", 0.02), ("is_last_pick", 0.005),
+    ("is_counter_phase", 0.005), ("remaining_team_picks", 0.005), ("draft_progress", -0.005),
+]
+_SCORE = "0.5::DOUBLE" + "".join(f" + {f} * {w}::DOUBLE" for f, w in _WEIGHTS)
 
 
 @query(_feature_sql(f"""SELECT item_id, count(*) AS n, CAST(sum(CAST(round(score * 1000000) AS BIGINT)) AS BIGINT) AS score_sum,
@@ -139,7 +167,7 @@ def linear_score(spark, d):
         millionths(F.max("score")).alias("best"))
 
 
-_PARTS = "[" + ", ".join(f"{{'f': '{f}', 'd': {f} * {w}::DOUBLE}}" for f, w in scoring.WEIGHTS.items()) + "]"
+_PARTS = "[" + ", ".join(f"{{'f': '{f}', 'd': {f} * {w}::DOUBLE}}" for f, w in _WEIGHTS) + "]"
 
 
 @query(_feature_sql(f"""SELECT x.f AS factor, count(*) FILTER (x.d > 0.1) AS n_reasons, count(*) FILTER (x.d < -0.05) AS n_risks
@@ -150,19 +178,46 @@ def explanations(spark, d):
         F.count_if(F.col("x.delta") > 0).alias("n_reasons"), F.count_if(F.col("x.delta") < 0).alias("n_risks"))
 
 
-@query(_feature_sql(f"""SELECT item_id, item_name, CAST(rank AS INTEGER) AS rank, count(*) AS n, CAST(sum(CAST(round(score * 1000000) AS BIGINT)) AS BIGINT) AS score_sum,
-      CAST(sum(n_reasons) AS BIGINT) AS n_reasons FROM (
-      SELECT *, row_number() OVER (PARTITION BY contest_id, slot ORDER BY score DESC, item_id) AS rank,
-        len(list_filter({_PARTS}, lambda p: p.d > 0.1)) AS n_reasons
-      FROM (SELECT *, {_SCORE} AS score FROM f)) JOIN seq_items USING (item_id) WHERE rank <= 10 GROUP BY 1, 2, 3""",
-                    legal=True))
+_BEST = f"""SELECT contest_id, slot, CAST(rank AS INTEGER) AS rank, item_id, item_name, CAST(round(score * 1000000) AS BIGINT) AS score_ppm,
+      len(list_filter({_PARTS}, lambda p: p.d > 0.1)) AS n_reasons, len(list_filter({_PARTS}, lambda p: p.d < -0.05)) AS n_risks FROM (
+      SELECT *, row_number() OVER (PARTITION BY contest_id, slot ORDER BY score DESC, item_id) AS rank
+      FROM (SELECT *, {_SCORE} AS score FROM f)) JOIN seq_items USING (item_id) WHERE rank <= 10"""
+
+
+def _shown(best):
+    return best.select("contest_id", "slot", "rank", "item_id", "item_name", millionths(F.col("score")).alias("score_ppm"),
+                       F.size("reasons").cast("bigint").alias("n_reasons"), F.size("risks").cast("bigint").alias("n_risks"))
+
+
+@query(_feature_sql(_BEST, legal=True))
 def recommendations(spark, d):
-    """Top ten of the whole legal pool for every pick, reported per item and rank."""
+    """Top ten of the whole legal pool for every pick."""
     scored = scoring.linear_score(feature_frame(spark, d, n=None))
-    best = scoring.recommend(scored, seq_tables(spark, d).items)
-    return best.groupBy("item_id", "item_name", "rank").agg(
-        F.count(F.lit(1)).alias("n"), _millionths(F.col("score")).alias("score_sum"),
-        F.sum(F.size("reasons")).cast("bigint").alias("n_reasons"))
+    return _shown(scoring.recommend(scored, seq_tables(spark, d).items))
+
+
+# The pick slots of the standard draft; each contest asks for one of them.
+_PICK_SLOTS = (7, 8, 12, 13, 14, 15, 16, 17, 22, 23)
+_ASKED_SLOT = "CASE contest_id % 10 " + " ".join(f"WHEN {i} THEN {s}" for i, s in enumerate(_PICK_SLOTS)) + " END"
+
+
+@query(_feature_sql(f"SELECT * FROM ({_BEST}) WHERE slot = {_ASKED_SLOT}", legal=True))
+def recommend_requests(spark, d):
+    """Top ten for requested positions that carry their own teams, rosters, picks and bans.
+
+    The requests restate one position of each decided contest, so the answers are those of the stored draft.
+    """
+    t = seq_tables(spark, d)
+    decided = dec.decisions(t.steps, t.contests)
+    asked = F.expr(_ASKED_SLOT)
+    turns = decided.groupBy("contest_id").agg(F.bool_or((F.col("slot") == asked) & F.col("is_pick")).alias("asks"), *[
+        F.collect_list(F.when((F.col("slot") < asked) & (F.col("is_pick") == pick) & (F.col("side") == s), F.col("item_id"))).alias(f"{name}{s}")
+        for name, pick in (("picks", True), ("bans", False)) for s in (0, 1)])
+    seats = feat.stored_seats(t.players).groupBy("contest_id").agg(*[
+        F.collect_list(F.when(F.col("side") == s, F.col("account_id"))).alias(f"roster{s}") for s in (0, 1)])
+    requests = turns.filter("asks").drop("asks").join(seats, "contest_id", "left").join(
+        t.contests.select("contest_id", "team0", "team1"), "contest_id").withColumn("slot", asked + 1)
+    return _shown(scoring.recommend_requests(requests, feature_tables(t, decided)))
 
 
 _RANK_KEY = f"({SAMPLE_KEY}) / 2147483647.0::DOUBLE"
