@@ -7,7 +7,7 @@ one partial row per task and no more.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -89,9 +89,23 @@ def actor_team_history(t: DraftTables, as_of: str | None) -> DataFrame:
         F.max("season_id").alias("last_season_id"))
 
 
-def with_fallback(view: DataFrame, fallback: DataFrame) -> DataFrame:
-    """The horizon view, or the all-time one when the horizon holds nothing."""
-    return fallback if view.isEmpty() else view
+def is_empty(view: DataFrame) -> Column:
+    """True when a frame has no rows, found out when the plan runs."""
+    return view.agg(F.count(F.lit(1)).alias("n")).scalar() == 0
+
+
+def with_fallback(profile, t: DraftTables, as_of: str | None) -> DataFrame:
+    """A profile over the horizon, or over all time when the horizon holds nothing.
+
+    ``profile`` is one of the profile functions. The branch is chosen by a scalar in the plan, not by a job while
+    planning. It stands at the contests and players: where the horizon holds something, the all-time branch finds no
+    rows there, and adaptive execution drops what would follow.
+    """
+    view = profile(t, as_of)
+    if as_of is None:
+        return view
+    none = is_empty(view)
+    return view.unionByName(profile(replace(t, contests=t.contests.filter(none), players=t.players.filter(none)), None))
 
 
 def item_global(t: DraftTables) -> DataFrame:

@@ -8,6 +8,7 @@ from draftlake.functions.scalars import (
     flex_epoch, guarded_ratio, json_or_null, poly_array, poly_first, poly_flag, poly_text, quarter_of,
 )
 from draftlake.operators import decode, dimensions, filters
+from draftlake.plans import decisions
 from draftlake.registry.core import query
 from draftlake.registry.sqlparts import sql
 from draftlake.sources import envelopes, star
@@ -189,10 +190,16 @@ def build_items(spark, d):
     return dimensions.build_items(_map_of(p, F.col("p_partkey").cast("string"), value), "j").drop("roles")
 
 
-@query("SELECT p_name AS item_name, count(*) AS n FROM part WHERE p_partkey BETWEEN 1 AND 32767 GROUP BY 1 HAVING count(*) > 1")
+@query("SELECT p_name AS item_name, count(*) AS n FROM part GROUP BY 1 HAVING count(*) > 1")
 def duplicate_item_names(spark, d):
-    p = load(spark, d, "part").filter(F.col("p_partkey").between(1, 32767))
-    return dimensions.duplicate_names(p.select(F.col("p_name").alias("item_name")))
+    return dimensions.duplicate_names(load(spark, d, "part").select(F.col("p_name").alias("item_name")))
+
+
+@query("""SELECT o_orderkey AS item_id, CASE WHEN o_orderkey <= 0 THEN 'not positive' ELSE 'beyond two bytes' END AS reason FROM orders
+    WHERE o_orderkey <= 0 OR o_orderkey > 32767""")
+def unusable_items(spark, d):
+    """Order keys taken for item ids: those that can be no candidate, with the reason."""
+    return decisions.unusable_items(load(spark, d, "orders").select(F.col("o_orderkey").alias("item_id")))
 
 
 @query(sql("seq_items", """SELECT item_id, CASE primary_attr WHEN 'str' THEN 1 WHEN 'agi' THEN 2 WHEN 'int' THEN 3 WHEN 'all' THEN 4

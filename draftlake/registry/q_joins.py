@@ -171,10 +171,9 @@ def roster_comfort(spark, d):
 def left_fill(spark, d):
     """Every team with every item, missing profile rows filled from the item and then a constant."""
     t = line_tables(spark, d)
-    items = F.array(*[F.lit(i) for i in range(1, 26)])
-    seen = t.steps.select("item_id").distinct()
+    seen = t.steps.agg(F.collect_set("item_id").alias("ids"))  # at most the 25 brands
     teams = filters.competitive(t.contests).select(F.col("team0").alias("team_id")).distinct()
-    grid = teams.select("team_id", F.explode(items).alias("item_id")).join(seen, "item_id", "left_semi")
+    grid = teams.select("team_id", F.explode(seen.scalar()).alias("item_id"))
     own = profiles.item_global(t).select("item_id", F.col("picks").alias("own_picks"))
     keyed = grid.join(own, "item_id", "left")
     filled = joins.left_fill(keyed, profiles.team_item_profile(t, None), ["team_id", "item_id"],

@@ -38,7 +38,31 @@ for _n, (_fn, _p) in _PROFILES.items():
     SELECT * FROM line_team_item_all WHERE NOT EXISTS (SELECT 1 FROM line_team_item)"""))
 def profile_with_fallback(spark, d):
     t = line_tables(spark, d)
-    return profiles.with_fallback(profiles.team_item_profile(t, AS_OF), profiles.team_item_profile(t, None))
+    return profiles.with_fallback(profiles.team_item_profile, t, AS_OF)
+
+
+_LATER = "2031-01-01"  # a horizon that holds nothing
+_FALLBACKS = {"team_item_profile": ("team_item", profiles.team_item_profile), "pair_synergy": ("synergy", pairs.pair_synergy),
+              "pair_counter": ("counter", pairs.pair_counter), "actor_item_profile": ("actor_item", profiles.actor_item_profile)}
+
+
+@query(sql("line_team_item_all", "SELECT * FROM line_team_item_all"))
+def profile_fallback_taken(spark, d):
+    return profiles.with_fallback(profiles.team_item_profile, line_tables(spark, d), _LATER)
+
+
+@query(sql(" ".join(f"line_{p} line_{p}_all" for p, _ in _FALLBACKS.values()), " UNION ALL ".join(
+    f"SELECT '{name}' AS view, '{at}' AS as_of, count(*) AS n, CAST(sum(games) AS BIGINT) AS games, CAST(sum(wins) AS BIGINT) AS wins FROM line_{p}{s}"
+    for name, (p, _) in _FALLBACKS.items() for at, s in ((AS_OF, ""), (_LATER, "_all")))))
+def fallback_views(spark, d):
+    """The four aggregates over a horizon that holds contests, and over one that holds none."""
+    t, out = line_tables(spark, d), None
+    for name, (_, fn) in _FALLBACKS.items():
+        for at in (AS_OF, _LATER):
+            part = profiles.with_fallback(fn, t, at).agg(F.count(F.lit(1)).alias("n"), F.sum("games").alias("games"), F.sum("wins").alias("wins")) \
+                .select(F.lit(name).alias("view"), F.lit(at).alias("as_of"), "n", "games", "wins")
+            out = part if out is None else out.unionByName(part)
+    return out
 
 
 @query(sql("contests line_players", f"""SELECT season_id, item_id, {rate_cols(5)} FROM line_players

@@ -18,6 +18,7 @@ from draftlake.session import checkpoint_root
 from draftlake.sources import star
 from draftlake.sources.tables import load
 from draftlake.streaming import dedup, ingest
+from draftlake.streaming.quarantine import read_document_files
 from draftlake.streaming.sinks import run_to_table
 
 
@@ -54,6 +55,67 @@ def stream_outcome_windows(spark, d):
         F.max_by("n", "batch_id").alias("n"))
 
 
+# Fixed value: an instant for streams that are fed step by step.
+_T0 = 1_700_000_000
+
+
+def _fed(spark, work: str, steps, transform, columns, mode: str = "append"):
+    """Feed (rows, event time) one after the other, each in a run of its own that restarts from the checkpoint."""
+    for rows, at in steps:
+        rows.withColumn("at", F.timestamp_seconds(F.lit(at).cast("bigint"))).write.mode("append").parquet(f"{work}/in")
+        stream = spark.readStream.schema(f"{columns}, at timestamp").parquet(f"{work}/in")
+        run_to_table(transform(stream), f"{work}/out", f"{work}/checkpoint", mode)
+    return spark.read.parquet(f"{work}/out").drop("batch_id")
+
+
+@query(f"""SELECT DISTINCT user_id, t AS at FROM events, (VALUES ({_T0}), ({_T0 + 10 * 86400})) v(t)
+    UNION ALL SELECT -1, {_T0 + 10 * 86400}""")
+def stream_dedup_expiry(spark, d):
+    """Users seen, seen again, a marker ten days on, seen late, seen on time after they were forgotten, and once more.
+
+    The repetition within the day and the last one are dropped, the late rows too; a forgotten user counts as new.
+    """
+    users = load(spark, d, "events").select("user_id")
+    marker = spark.createDataFrame([(-1,)], "user_id bigint")
+    later = _T0 + 10 * 86400
+    steps = [(users, _T0), (users, _T0 + 3600), (marker, later), (users, _T0 + 86400), (users, later), (users, later + 3600)]
+    seen = _fed(spark, _scratch(spark), steps, lambda s: dedup.dedup_stream(s, "user_id", "at"), "user_id bigint")
+    return seen.select("user_id", F.unix_seconds("at").alias("at"))
+
+
+@query(f"""SELECT {_T0 - _T0 % 60} AS window_start, event_type AS stage, 'seen' AS kind, 2 * count(*) AS n FROM events GROUP BY 2
+    UNION ALL SELECT {_T0 + 7200 - (_T0 + 7200) % 60}, 'marker', 'seen', 1
+    UNION ALL SELECT {_T0 + 6900 - (_T0 + 6900) % 60}, event_type, 'seen', count(*) FROM events GROUP BY 2""")
+def stream_outcome_late(spark, d):
+    """Outcomes of one minute in two batches, a marker two hours on, the minute again (too late), and rows within the limit."""
+    rows = load(spark, d, "events").select(F.col("event_type").alias("stage"), F.lit("seen").alias("kind"))
+    marker = spark.createDataFrame([("marker", "seen")], "stage string, kind string")
+    steps = [(rows, _T0), (rows, _T0 + 1), (marker, _T0 + 7200), (rows, _T0), (rows, _T0 + 6900)]
+    work = _scratch(spark)
+    _fed(spark, work, steps, lambda s: dedup.outcome_windows(s, "at", "1 minute", "10 minutes"), "stage string, kind string", "update")
+    return spark.read.parquet(f"{work}/out").groupBy("window_start", "stage", "kind").agg(F.max_by("n", "batch_id").alias("n"))
+
+
+@query("""SELECT 'contests' AS table_name, n_nationkey + 1 AS contest_id, CAST(NULL AS VARCHAR) AS kind, CAST(NULL AS VARCHAR) AS reason FROM nation
+      WHERE n_nationkey NOT IN (3, 7, 11)
+    UNION ALL SELECT 'quarantine', 8, 'validate', 'negative_duration'
+    UNION ALL SELECT 'quarantine', NULL, 'parse', 'undecodable'
+    UNION ALL SELECT 'quarantine', 12, 'validate', 'invalid_player_slot'""")
+def document_files(spark, d):
+    """One document a file, three of them broken: the read goes on, and they are quarantined with their file."""
+    work = _scratch(spark)
+    k = F.col("n_nationkey")
+    seat = F.struct(F.when(k == 11, 99).otherwise(0).alias("player_slot"), F.lit(1).alias("hero_id"))
+    text = F.to_json(F.struct((k + 1).alias("match_id"), (F.lit(_T0) + k).alias("start_time"), F.when(k == 7, -1).otherwise(60).alias("duration"),
+                              F.array(seat).alias("players")))
+    load(spark, d, "nation").select(k.alias("file"), F.when(k == 3, '{"match_id": 4, "start').otherwise(text).alias("value")) \
+        .repartition("file").write.partitionBy("file").text(f"{work}/in")
+    good, bad = read_document_files(spark, f"{work}/in", _T0)
+    none = F.lit(None).cast("string")
+    return good.select(F.lit("contests").alias("table_name"), F.col("match_id").alias("contest_id"), none.alias("kind"), none.alias("reason")) \
+        .unionByName(bad.select(F.lit("quarantine").alias("table_name"), "contest_id", "kind", "reason"))
+
+
 @query(sql("contests", """SELECT event_id, user_id FROM events WHERE NOT EXISTS (
     SELECT 1 FROM contests WHERE contest_id = user_id AND side0_won)"""))
 def stream_static_dedup(spark, d):

@@ -9,9 +9,10 @@ from pyspark.sql import types as T
 from draftlake.schemas import document_schema
 
 
-def read_match_docs(spark: SparkSession, path: str, one_per_line: bool = True) -> DataFrame:
-    """Raw documents in a column ``raw``, one per line or one per file."""
-    return spark.read.text(path, wholetext=not one_per_line).withColumnRenamed("value", "raw")
+def read_match_docs(spark: SparkSession, path: str, one_per_line: bool = True, with_path: bool = False) -> DataFrame:
+    """Raw documents in a column ``raw``, one per line or one per file, if wanted with the ``path`` of their file."""
+    rows = spark.read.text(path, wholetext=not one_per_line)
+    return rows.select(F.col("value").alias("raw"), *([F.col("_metadata.file_path").alias("path")] if with_path else []))
 
 
 def stream_match_docs(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
