@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from draftlake.functions.scalars import quarter_of
 from draftlake.operators.windows import season_ranges
 
 
-
 def left_fill(df: DataFrame, other: DataFrame, on: list[str], fills: dict[str, tuple[Column | None, object]]) -> DataFrame:
     """Left join; every named column falls back to another column and then to a constant."""
     out = df.join(other.select(*on, *fills), on, "left")
@@ -60,6 +60,16 @@ def contests_of_season(contests: DataFrame, seasons: DataFrame, season: int) ->
     return contests.filter(F.col("start_time").between(lo.scalar(), hi.scalar()))
 
 
+def rows_of_contests(rows: DataFrame, contests: DataFrame) -> DataFrame:
+    """Rows of a time table stored by quarter that belong to some contests.
+
+    The contests carry their start time, so their quarters are part of the join: when the rows are scanned, the
+    quarters of a broadcast contest side prune the folders that are read.
+    """
+    keys = contests.select("contest_id", quarter_of("start_time").alias("quarter")).distinct()
+    return rows.join(keys, ["contest_id", "quarter"])
+
+
 def prior_selections(steps: DataFrame, same_side: bool) -> DataFrame:
     """Every pick with each earlier pick of the same or of the other side.
 

@@ -10,11 +10,11 @@ from draftlake.operators.filters import competitive
 from draftlake.plans import decisions as dec
 from draftlake.plans import evaluation as ev
 from draftlake.plans import features as feat
-from draftlake.plans import scoring
+from draftlake.plans import models, scoring
 from draftlake.plans.feature_registry import DEFAULT, FeatureRegistry
 from draftlake.registry.core import query
 from draftlake.registry.inputs import seq_tables
-from draftlake.registry.q_drafts import CANDIDATES, DECISIONS, SAMPLE_KEY
+from draftlake.registry.q_drafts import _TRAIN, CANDIDATES, DECISIONS, SAMPLE_KEY
 from draftlake.registry.sqlparts import shrunk, sql
 
 
@@ -307,3 +307,29 @@ def replay_comfort(spark, d):
 def sampled_recall(spark, d):
     out = ev.sampled_recall(scoring.linear_score(feature_frame(spark, d)))
     return out.select("decisions", F.round("recall", 9).alias("recall"))
+
+
+# --- what the models learn from ------------------------------------------------------------
+
+_KEY1 = "(contest_id % 2147483647 * 48271 + slot * 16807 + item_id * 69621 + 42) % 2147483647"
+_SIGN = f"CASE WHEN (({_KEY1}) * ({_KEY1}) + item_id) % 2147483647 % 2 = 0 THEN 1 ELSE -1 END"
+_DIFFS = ["team_picks", "mean_syn_with_allies", "player_comfort", "hero_wr"]
+
+
+@query(_feature_sql(f"""SELECT contest_id, slot, count(*) AS n, count_if(sign > 0) AS n_first,
+      {", ".join(f"CAST(sum(sign * (CAST(round(c_{x} * 1000000) AS BIGINT) - CAST(round({x} * 1000000) AS BIGINT))) AS BIGINT) AS {x}" for x in _DIFFS)}
+    FROM (SELECT f.*, {", ".join(f"c.{x} AS c_{x}" for x in _DIFFS)}, {_SIGN.replace("contest_id", "f.contest_id").replace("slot", "f.slot").replace("item_id", "f.item_id")} AS sign
+      FROM f JOIN (SELECT * FROM f WHERE label > 0) c ON c.contest_id = f.contest_id AND c.slot = f.slot WHERE f.label = 0) GROUP BY 1, 2"""))
+def ranking_pairs(spark, d):
+    """The ranker's pairs: chosen minus other candidate with a seeded sign, summed per decision."""
+    frame = feature_frame(spark, d).withColumns({x: millionths(F.col(x)).cast("double") for x in _DIFFS})
+    diffs = models.pairwise_differences(frame, _DIFFS)
+    return diffs.groupBy("contest_id", "slot").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("label") > 0).alias("n_first"), *[F.sum(x).cast("bigint").alias(x) for x in _DIFFS])
+
+
+@query(sql("comp seq_steps", f"""WITH {DECISIONS.format(steps='seq_steps', season='')}
+    SELECT contest_id, slot, item_id, CAST(acting_won AS DOUBLE) AS value_label, NOT ({_TRAIN}) AS validation FROM dec WHERE is_pick"""))
+def value_examples(spark, d):
+    """The win classifier's examples: every pick with the outcome of its side and the side of the split it is on."""
+    return models.value_frame(feature_frame(spark, d, n=0)).select("contest_id", "slot", "item_id", "value_label", "validation")

@@ -177,7 +177,7 @@ def ranking_model(spark, d):
 @query()
 def value_model(spark, d):
     """AUC and feature importances of the win classifier."""
-    model, auc = models.fit_value(feature_frame(spark, d, n=0), rounds=10)
+    model, auc = models.fit_value(feature_frame(spark, d, n=0))
     weights = [float(x) for x in model.featureImportances.toArray()]
     picked = load(spark, d, "orders").agg(F.count(F.lit(1)).alias("n_contests"))
     rows = F.array(*[F.struct(F.lit(f).alias("feature"), F.lit(w).alias("importance"))
