@@ -13,7 +13,8 @@ CORE = [
     "item_priors", "top_partners", "actor_cards", "rosters", "head_to_head", "draft_validation", "verify_template_lines",
     "derive_phases", "draft_context", "decisions", "candidates", "train_split", "candidate_features", "replay_random",
     "season_at", "mean_partner_rate", "decode_players", "expand_timeseries", "ref_envelope", "build_abilities", "build_seasons",
-    "upsert_contests", "upsert_partial", "partition_health", "quarantine_replay", "stream_dedup", "stream_outcome_windows",
+    "stored_upserts", "stored_retention", "refresh_current", "snapshot_append", "stored_players_of_contests", "fallback_views", "chosen_features",
+    "recommend_requests", "value_examples", "document_files", "stream_dedup_expiry", "unusable_items", "upsert_contests", "upsert_partial", "partition_health", "quarantine_replay", "stream_dedup", "stream_outcome_windows",
 ]
 NAMES = list(QUERIES) if os.environ.get("DRAFTLAKE_ALL") else CORE
 
