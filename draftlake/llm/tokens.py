@@ -7,7 +7,7 @@ import re
 
 import numpy as np
 
-MEMORY, CHUNK_CHARS = 600_000, 1 << 19
+MEMORY, CHUNK_CHARS = 1_200_000, 1 << 19
 _WHITE = re.compile(r"[ \t\n\r]+")
 _ODD = re.compile("[\x1c-\x1f]")
 # Fixed value: the split pattern of the tokenizer file, for counting the words inside a piece.
