@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from itertools import chain, count, islice
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from draftlake.llm.texts import byte_chunks, one_row, pinned, word_hashes
+from draftlake.llm.texts import byte_chunks, one_row, pinned, scratch_table, word_hashes
 
 WINDOW = 10
 BLOCK_WORDS = 200_000
@@ -230,22 +232,72 @@ def hit_words() -> F.Column:
 
 def without_benchmark(transcripts: DataFrame, items: DataFrame, text_col: str = "transcript",
                       key_col: str = "ability_key", item_col: str = "description", window: int = WINDOW,
-                      coverage: float = 0.5, block_words: int = BLOCK_WORDS, most_blocks: int = 16,
+                      coverage: float = 0.5, block_words: int = BLOCK_WORDS, blocks_at_once: int = 16,
                       length_col: str | None = None) -> DataFrame:
     """The transcripts, all columns, with every hit span cut out; those with more than ``coverage`` of their words hit go.
 
     A span reaches from the first byte of its first word to the last byte of its last word. Clean texts stay byte for
-    byte, null and empty ones too; extra columns pass through. All blocks of items are held by a task at once, so more
-    than ``most_blocks`` of them are refused: find the spans with benchmark_hits then, which holds one block at a time.
+    byte, null and empty ones too; extra columns pass through. A task holds ``blocks_at_once`` blocks of items at most:
+    with more of them the transcripts are read once for each so many, the hit spans of the rows that have some are
+    written aside, and all are cut at the end. No item is left out, and the result is the same.
     ``length_col``, if given, takes the number of characters of each text that was cut.
     """
-    where = transcripts.columns.index(text_col)
+    spark, every = transcripts.sparkSession, automata(items, key_col, item_col, window, block_words)
+    turn, after = list(islice(every, blocks_at_once)), next(every, None)
+    if after is None:
+        shared = [spark.sparkContext.broadcast(a) for a in turn]
+
+        def hits_of(_batch, _i, words):
+            hit = np.zeros(len(words), bool)
+            for s in shared:
+                hit |= _hits(s.value, words)[0]
+            return hit
+        return transcripts.mapInArrow(_cutting(transcripts, text_col, length_col, coverage, hits_of), transcripts.schema)
+
+    row = next(name for k in count() if (name := f"_hit_row{k}") not in {c.lower() for c in transcripts.columns})
+    numbered = pinned(transcripts).withColumn(row, F.monotonically_increasing_id())
+    source, found, every = numbered.select(F.col(row).alias("_row"), F.col(text_col).alias("_text")), None, chain([after], every)
+    while turn:
+        shared = [spark.sparkContext.broadcast(a) for a in turn]
+        rows = scratch_table(source.mapInArrow(_spans_of(shared), "_row long, _spans array<long>"), "benchmark-spans")
+        found = rows if found is None else found.union(rows)
+        for s in shared:
+            s.destroy()
+        turn = list(islice(every, blocks_at_once))
+    spans = found.groupBy("_row").agg(F.flatten(F.collect_list("_spans")).alias(f"{row}_spans")).withColumnRenamed("_row", row)
+    joined = numbered.join(spans, row, "left").select(*numbered.columns[:-1], f"{row}_spans")
+    last = len(joined.columns) - 1
+
+    def stored(batch, i, words):
+        hit, places = np.zeros(len(words), bool), batch.column(last)[i]
+        if places.is_valid:
+            for a, b in np.asarray(places.values, np.int64).reshape(-1, 2):
+                hit[a:b] = True
+        return hit
+    return joined.mapInArrow(_cutting(transcripts, text_col, length_col, coverage, stored), transcripts.schema)
+
+
+def _spans_of(shared: list):
+    """Hit spans (first and after, one behind the other) of the rows that have some."""
+    def scan(batches):
+        for batch in batches:
+            at, spans = [], []
+            for i, words, _, _, _ in _words_of(batch, "_text"):
+                hit = np.zeros(len(words), bool)
+                for s in shared:
+                    hit |= _hits(s.value, words)[0]
+                if hit.any():
+                    at.append(i)
+                    spans.append([place for span in _spans(hit) for place in span])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), pa.array(spans, pa.list_(pa.int64()))],
+                                             ["_row", "_spans"])
+    return scan
+
+
+def _cutting(transcripts: DataFrame, text_col: str, length_col: str | None, coverage: float, hits_of):
+    """Cuts the words that ``hits_of(batch, row, words)`` marks; columns beyond those of the transcripts are left out."""
+    where, width = transcripts.columns.index(text_col), len(transcripts.columns)
     length = transcripts.columns.index(length_col) if length_col else None
-    schema = transcripts.schema
-    blocks = list(automata(items, key_col, item_col, window, block_words))
-    if len(blocks) > most_blocks:
-        raise ValueError(f"{len(blocks)} blocks of items; at most {most_blocks} can be held by a task")
-    shared = [transcripts.sparkSession.sparkContext.broadcast(a) for a in blocks]
 
     def clean(batches):
         for batch in batches:
@@ -253,26 +305,23 @@ def without_benchmark(transcripts: DataFrame, items: DataFrame, text_col: str =
             lengths = batch.column(length).to_pylist() if length is not None else None
             changed = False
             for i, words, starts, ends, data in _words_of(batch, text_col):
-                hit = np.zeros(len(words), bool)
-                for s in shared:
-                    hit |= _hits(s.value, words)[0]
+                hit = hits_of(batch, i, words)
                 if hit.any():
                     if hit.sum() > coverage * len(words):
                         keep[i] = False
-                    cuts = [(int(starts[a]), int(ends[b - 1])) for a, b in _spans(hit)]
                     raw, at = [], 0
-                    for a, b in cuts:
-                        raw.append(data[at:a].tobytes())
-                        at = b
+                    for a, b in _spans(hit):
+                        raw.append(data[at:int(starts[a])].tobytes())
+                        at = int(ends[b - 1])
                     texts[i] = b"".join([*raw, data[at:].tobytes()]).decode("utf-8", "replace")
                     if lengths is not None:
                         lengths[i] = len(texts[i])
                     changed = True
+            columns, schema = list(batch.columns)[:width], pa.schema(list(batch.schema)[:width])
             if changed:
-                columns = list(batch.columns)
-                columns[where] = pa.array(texts, batch.schema.field(where).type)
+                columns[where] = pa.array(texts, schema.field(where).type)
                 if lengths is not None:
-                    columns[length] = pa.array(lengths, batch.schema.field(length).type)
-                batch = pa.RecordBatch.from_arrays(columns, schema=batch.schema).filter(pa.array(keep))
-            yield batch
-    return transcripts.mapInArrow(clean, schema)
+                    columns[length] = pa.array(lengths, schema.field(length).type)
+            batch = pa.RecordBatch.from_arrays(columns, schema=schema)
+            yield batch.filter(pa.array(keep)) if changed else batch
+    return clean

@@ -2,12 +2,14 @@
 
 import hashlib
 import re
+import time
 import zlib
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from draftlake.llm import (block_names, components, decontaminate, html_runs, longest_previous, packing, pairwise_quality,
@@ -96,6 +98,21 @@ def test_without_benchmark(spark, transcripts):
     assert 54 not in {r.contest_id for r in decontaminate.without_benchmark(transcripts, all_of_it).collect()}
 
 
+def test_without_benchmark_in_several_turns(spark, transcripts):
+    """More blocks of items than a task holds at once: same rows, by turns."""
+    w = edge_rows()[44][1].split(" ")
+    table = spark.createDataFrame([(f"k{i}", " ".join(w[a:a + 14])) for i, a in enumerate(range(0, 40, 9))] +
+                                  [(f"x{i}", f"other{i} " * 12) for i in range(30)], "ability_key string, description string")
+    wider = transcripts.withColumn("_hit_row0", F.lit("clash"))
+    once = decontaminate.without_benchmark(wider, table, coverage=0.9)
+    turns = decontaminate.without_benchmark(wider, table, coverage=0.9, block_words=80, blocks_at_once=2)
+    assert turns.columns == once.columns == wider.columns
+    assert Counter(map(str, turns.collect())) == Counter(map(str, once.collect()))
+    before = dict(edge_rows())
+    assert any(r.transcript != before[r.contest_id] for r in turns.collect())
+    assert decontaminate.without_benchmark(wider.limit(0), table, block_words=80, blocks_at_once=2).count() == 0
+
+
 def test_removed_copies(transcripts, nothing):
     for group in (2000, 2):
         got = longest_previous.remove_copies(transcripts, length=40, group=group).drop("kept").collect()
@@ -382,3 +399,25 @@ def test_repeated_tokens_against_brute_force():
             if holds >= 3:
                 exp[i:i + 4] = True
         assert (got == exp).all()
+
+
+ARTICLE_TEXT = "<p>" + " ".join(f"w{i}" for i in range(50)) + "</p>"
+
+
+@pytest.mark.parametrize("page, kept", [
+    (f'<div class="content has-sidebar">{ARTICLE_TEXT}</div>', 1),
+    (f'<div class="post social-post">{ARTICLE_TEXT}<div class="site-comments"><p>nice one</p></div></div>', 1),
+    (f'<nav>Home</nav><div id="main-nav-wrapper">{ARTICLE_TEXT}</div><div class="page-footer">About</div>', 1),
+    (f'<article>{ARTICLE_TEXT}</article><div class="reader-comments">{ARTICLE_TEXT * 9}</div>', 1),
+    (f'<div class="ad">{ARTICLE_TEXT}</div>', 0),
+    (f"<a title=it's></a>{ARTICLE_TEXT}<div class='x sidebar'>it's</div>", 1)])
+def test_names_that_only_sound_like_chrome(page, kept):
+    assert html_runs.main_texts([page]) == [ARTICLE_TEXT[3:-4] * kept]
+
+
+@pytest.mark.parametrize("part", ["<div '", "<a b='>'", '<a b="', "<!-- ", "<![CDATA[ ", "<div class=x-ad>", "<b =", "</script   "])
+def test_long_malformed_pages_take_linear_time(part):
+    started = time.process_time()
+    html_runs.blocks(part * (1_000_000 // len(part)))
+    html_runs.blocks("<div>" * 100_000 + "</p>" * 100_000)
+    assert time.process_time() - started < 20
