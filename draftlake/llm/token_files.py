@@ -142,26 +142,36 @@ def decode_block(payload: bytes, table: FrequencyTable, checkpoint: int = 0, unt
 
 
 def _raw_blocks(tokenizer: str, end_id: int, key: pa.DataType, block_tokens: int):
-    schema = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("keys", pa.list_(key)),
-                        ("sizes", pa.list_(pa.int64())), ("ids", pa.binary())])
+    """Blocks of ids; a task's last one also carries how often each id stands in all of the task's blocks."""
+    schema = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("keys", pa.list_(key)), ("sizes", pa.list_(pa.int64())),
+                        ("ids", pa.binary()), ("counted", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64()))])
 
     def blocks(batches):
         part, block, encode = TaskContext.get().partitionId(), 0, encoder(tokenizer).encode_many
-        keys, held, size = [], [], 0
+        keys, held, size, total = [], [], 0, np.zeros(0, np.int64)
+
+        def done(last: bool):
+            nonlocal total
+            ids = np.concatenate(held)
+            n = np.bincount(ids, minlength=len(total))
+            n[:len(total)] += total
+            total = n
+            seen = np.flatnonzero(total) if last else total[:0]
+            return pa.RecordBatch.from_pydict(
+                {"part": [part], "block": [block], "keys": [keys], "sizes": [[len(x) for x in held]], "ids": [ids.astype("<u4").tobytes()],
+                 "counted": pa.array([seen], pa.list_(pa.int64())), "counts": pa.array([total[seen]], pa.list_(pa.int64()))}, schema)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 rows = batch.slice(at, 256)
                 for k, ids in zip(rows.column(0).to_pylist(), encode([t or "" for t in rows.column(1).to_pylist()])):
                     if held and size + len(ids) >= block_tokens:
-                        yield pa.RecordBatch.from_pydict({"part": [part], "block": [block], "keys": [keys], "sizes": [[len(x) for x in held]],
-                                                          "ids": [np.concatenate(held).astype("<u4").tobytes()]}, schema)
+                        yield done(False)
                         block, keys, held, size = block + 1, [], [], 0
                     keys.append(k)
                     held.append(np.append(ids, end_id).astype(np.uint32))
                     size += len(ids) + 1
         if held:
-            yield pa.RecordBatch.from_pydict({"part": [part], "block": [block], "keys": [keys], "sizes": [[len(x) for x in held]],
-                                              "ids": [np.concatenate(held).astype("<u4").tobytes()]}, schema)
+            yield done(True)
     return blocks
 
 
@@ -181,17 +191,10 @@ def write_token_files(transcripts: DataFrame, tokenizer: str, path: str | None =
     ordered = transcripts.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")) \
         .repartitionByRange("_id").sortWithinPartitions("_id", F.xxhash64("_text"))
     shape = f"part int, block int, keys array<{kind.simpleString()}>, sizes array<long>"
-    raw = scratch_table(ordered.mapInArrow(_raw_blocks(tokenizer, end_id, key, block_tokens), f"{shape}, ids binary"), "raw-blocks")
-
-    def counted(batches):
-        total = np.zeros(0, np.int64)
-        for batch in batches:
-            for ids in batch.column(0):
-                n = np.bincount(np.frombuffer(ids.as_buffer(), "<u4"))
-                total = n + np.pad(total, (0, len(n) - len(total))) if len(n) > len(total) else total + np.pad(n, (0, len(total) - len(n)))
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], ["id", "n"])
-    counts = raw.select("ids").mapInArrow(counted, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
+    raw = scratch_table(ordered.mapInArrow(_raw_blocks(tokenizer, end_id, key, block_tokens),
+                                           f"{shape}, ids binary, counted array<long>, counts array<long>"), "raw-blocks")
+    counts = raw.select(F.explode(F.arrays_zip("counted", "counts")).alias("c")) \
+        .groupBy(F.col("c.counted").alias("id")).agg(F.sum("c.counts").alias("n")).toPandas()
     table = FrequencyTable.from_counts(counts["id"].to_numpy(dtype=np.int64), counts["n"].to_numpy(dtype=np.int64))
     spark.createDataFrame([(int(i), int(f)) for i, f in zip(table.ids, table.frequencies)], "id long, frequency long") \
         .coalesce(1).write.parquet(f"{path}/table")
@@ -202,7 +205,7 @@ def write_token_files(transcripts: DataFrame, tokenizer: str, path: str | None =
             payload = [encode_block(np.frombuffer(x.as_buffer(), "<u4"), shared.value) for x in batch.column(4)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(payload, pa.binary())],
                                              ["part", "block", "keys", "sizes", "payload"])
-    raw.mapInArrow(coded, f"{shape}, payload binary").write.option("compression", "none").parquet(f"{path}/blocks")
+    raw.drop("counted", "counts").mapInArrow(coded, f"{shape}, payload binary").write.option("compression", "none").parquet(f"{path}/blocks")
     return path
 
 
